@@ -114,10 +114,11 @@ def percentiles_of_counts(
 
     results = []
     for name, fraction in fractions.items():
-        share = position(fraction) - F.floor(position(fraction))
+        wanted = position(fraction)
         low = F.col(f"{name}_low").cast("double")
         high = F.col(f"{name}_high").cast("double")
-        results.append((low * (1 - share) + high * share).alias(name))
+        between = (F.ceil(wanted) - wanted) * low + (wanted - F.floor(wanted)) * high
+        results.append(F.when(low == high, low).otherwise(between).alias(name))
     return picked.select(*keys, "value_count", "value_mean", *results)
 
 

@@ -7,10 +7,10 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vigilog.config import ALL_FAMILIES, AUDIT, FEEDS, TRACK, DetectorConfig
 from vigilog.operators import detectors as d
+from vigilog.operators.alerts import by_type
 from vigilog.operators.counters import counter_rollup, row_counters
 from vigilog.session import materialize
 from vigilog.sources.tables import append_anomalies
@@ -69,15 +69,6 @@ def run_detection(
     return reduce(DataFrame.unionByName, parts)
 
 
-def summarize(anomalies: DataFrame) -> DataFrame:
-    """Anomalies per severity and type, in alphabetical order."""
-    return (
-        anomalies.groupBy("anomaly_type", "severity")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy("severity", "anomaly_type")
-    )
-
-
 def detect_and_save(
     logs: Mapping[str, DataFrame], config: DetectorConfig, as_of: datetime, table: str
 ) -> DataFrame:
@@ -87,4 +78,4 @@ def detect_and_save(
     """
     found = materialize(run_detection(logs, config, as_of), "anomalies")
     append_anomalies(found, table)
-    return summarize(found)
+    return by_type(found)

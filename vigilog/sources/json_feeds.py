@@ -49,3 +49,8 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def write_feed(df: DataFrame, path: str) -> None:
     """Append a batch as JSON lines; every call adds new files, none is replaced."""
     df.write.mode("append").json(path)
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """Append a single text column as it is, one line per row."""
+    df.write.mode("append").text(path)
