@@ -214,12 +214,21 @@ def notification_payloads(
 # --- latest rows -------------------------------------------------------------------
 
 
-def latest(df: DataFrame, time_column: str, limit: int, tiebreak: str) -> DataFrame:
-    """Newest rows first; Spark keeps ``limit`` rows per task, not a global sort."""
-    return df.orderBy(F.desc(time_column), tiebreak).limit(limit)
-
+def latest(
+    df: DataFrame, time_column: str, limit: int, tiebreak: str, date_column: str | None = None
+) -> DataFrame:
+    """Newest rows first; Spark keeps ``limit`` rows per task, not a global sort.
 
-def latest_run(anomalies: DataFrame) -> DataFrame:
-    """Rows of the newest detection only."""
-    newest = anomalies.agg(F.max("detected_at").alias("at")).scalar()
-    return anomalies.filter(F.col("detected_at") == newest)
+    Of a table partitioned by date only the newest partitions are read: as many as it
+    takes to hold ``limit`` rows. Counting rows per partition reads file footers only.
+    """
+    if date_column is not None:
+        newest_first = Window.orderBy(F.desc(date_column)).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        per_date = df.filter(F.col(date_column).isNotNull()).groupBy(date_column).count()
+        needed = per_date.select(
+            date_column, F.coalesce(F.sum("count").over(newest_first), F.lit(0)).alias("newer")
+        ).filter(F.col("newer") < limit)
+        df = df.filter(F.col(date_column) >= needed.agg(F.min(date_column)).scalar())
+    return df.orderBy(F.desc(time_column), tiebreak).limit(limit)

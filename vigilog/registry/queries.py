@@ -22,7 +22,7 @@ from vigilog.plans import dashboards, detection, maintenance, monitoring
 from vigilog.session import fresh_path, pin_utc
 from vigilog.sources import event_views, raw_views
 from vigilog.sources.json_feeds import parse_lines, split_corrupt, write_lines
-from vigilog.sources.tables import LOG_DATE, append_anomalies, read_anomalies, scan
+from vigilog.sources.tables import DETECTED_DATE, LOG_DATE, append_anomalies, read_anomalies, scan
 from vigilog.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +75,7 @@ def _logs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _normalized(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
     lines = raw_views.feed_lines(_events(spark, sf_dir), family)
-    good, _ = split_corrupt(parse_lines(lines, family, F.col("value")))
+    good, _ = split_corrupt(parse_lines(lines, family, F.col("value")), family)
     return normalize(good, family)
 
 
@@ -221,7 +221,7 @@ def _normalizer(family: str, *columns: str) -> Query:
 
 def corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = raw_views.feed_lines(_events(spark, sf_dir), AUDIT)
-    _, bad = split_corrupt(parse_lines(lines, AUDIT, F.col("value")))
+    _, bad = split_corrupt(parse_lines(lines, AUDIT, F.col("value")), AUDIT)
     return bad
 
 
@@ -280,7 +280,8 @@ def latest_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = alerts.latest(_anomalies(spark, sf_dir), "detected_at", 50, "anomaly_id")
+    anomalies = _anomalies(spark, sf_dir)
+    found = alerts.latest(anomalies, "detected_at", 50, "anomaly_id", DETECTED_DATE)
     return comparable(found.select(*RECORD))
 
 
@@ -381,7 +382,8 @@ def _ingested(feed: str, family: str, *columns: str) -> Query:
             spark, feed, source, table, fresh_path(spark, f"{feed}-checkpoint"), trigger=None
         ).awaitTermination()
         rows = scan(spark, table)
-        return comparable(rows.filter(F.col("_corrupt_record").isNull()).select(*columns))
+        good, _ = split_corrupt(rows, family)
+        return comparable(good.select(*columns))
 
     return query
 

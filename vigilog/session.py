@@ -29,9 +29,16 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has used yet, below the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_root(spark).rstrip('/')}/vigilog/{app}/{name}-{uuid.uuid4().hex}"
+    """A path nobody has used yet, below the shared folder.
+
+    All of an application's paths lie in one folder, which is deleted when it ends.
+    """
+    app = f"{shared_root(spark).rstrip('/')}/vigilog/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(app)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{app}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

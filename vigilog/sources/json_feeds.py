@@ -30,20 +30,36 @@ def stream_feed(spark: SparkSession, family: str, path: str, max_files: int = 10
 
 
 def parse_lines(df: DataFrame, family: str, line: Column) -> DataFrame:
-    """Parse JSON text held in a column exactly as the file source would."""
+    """Parse JSON text held in a column exactly as the file source would.
+
+    ``inline`` puts the parsed record behind a generator. A filter on one of its fields
+    stays above it; through a plain projection it would be pushed down together with a
+    second copy of the parser.
+    """
     parsed = F.from_json(
         line,
         with_corrupt(RAW_SCHEMAS[family]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return df.select(parsed.alias("record")).select("record.*")
+    return df.select(F.inline(F.array(parsed)))
+
+
+def is_corrupt_line(family: str) -> Column:
+    """True for a line of which nothing could be read.
+
+    A record with a single bad field also fills the corrupt column, but its other fields
+    are there and it stays an ordinary row.
+    """
+    corrupt = F.col(CORRUPT).isNotNull()
+    for name in RAW_SCHEMAS[family].fieldNames():
+        corrupt = corrupt & F.col(f"`{name}`").isNull()
+    return corrupt
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows without the corrupt column, corrupt lines as text)."""
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
-    return good, bad
+def split_corrupt(df: DataFrame, family: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, lines that could not be read, as text)."""
+    corrupt = is_corrupt_line(family)
+    return df.filter(~corrupt), df.filter(corrupt).select(F.col(CORRUPT).alias("line"))
 
 
 def write_feed(df: DataFrame, path: str) -> None:

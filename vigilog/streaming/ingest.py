@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vigilog.config import FEEDS
 from vigilog.operators.normalize import normalize
 from vigilog.schemas import CORRUPT
-from vigilog.sources.json_feeds import stream_feed
+from vigilog.sources.json_feeds import is_corrupt_line, stream_feed
 from vigilog.sources.tables import LOG_DATE
 
 # Trigger interval and rate limit.
@@ -33,7 +33,8 @@ def start_ingest(
     there, in batches of ``max_files``, and stops.
 
     Lines that are not JSON keep their text in the corrupt column. They have no time, so
-    they land in the partition without a date, which no time range ever reads.
+    they land in the partition without a date, which no time range ever reads; see
+    ``quarantined``.
     """
     rows = normalize(stream_feed(spark, FEEDS[feed].family, source, max_files), FEEDS[feed].family)
     writer = (
@@ -49,8 +50,8 @@ def start_ingest(
     return writer.trigger(processingTime=trigger).start()
 
 
-def quarantined(table: DataFrame) -> DataFrame:
-    """Lines of a log table that could not be parsed."""
-    return table.filter(F.col(LOG_DATE).isNull() & F.col(CORRUPT).isNotNull()).select(
+def quarantined(table: DataFrame, family: str) -> DataFrame:
+    """Lines of a log table that could not be read."""
+    return table.filter(F.col(LOG_DATE).isNull() & is_corrupt_line(family)).select(
         "ingestion_timestamp", F.col(CORRUPT).alias("line")
     )
