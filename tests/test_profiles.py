@@ -162,3 +162,31 @@ def test_the_fan_out_happens_after_the_reduction(spark):
         above = [i for i in range(scan) if lines[i].startswith("HashAggregate")]
         fans = [i for i in range(scan) if "explode(array(" in lines[i] and "_slice" in lines[i]]
         assert fans and max(above) > max(fans), "aggregate below the fan-out"
+
+
+def test_value_counts_are_shuffled_once(spark):
+    """Both uses of the fanned-out counts share one exchange."""
+    logs = audit_logs(read_events(spark, SF_DIR))
+    table = monitoring.run_monitor(logs, monitoring.AUDIT_MONITOR)
+    table.collect()
+    final = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Generate explode(array(struct(granularity") == 2
+    assert "ReusedExchange" in final
+
+
+def test_refresh_prunes_old_files_and_days(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "logs")
+    rows = [(ago(days=d), "a", False, d) for d in range(4)]
+    logs = ingested(audit(spark, rows), NOW).withColumn("log_date", F.to_date("log_timestamp"))
+    logs.write.partitionBy("log_date").parquet(path)
+    for file in (tmp_path / "logs").glob("log_date=2024-01-2[678]/*.parquet"):
+        os.utime(file, (NOW.timestamp(), NOW.timestamp()))
+    table = spark.read.parquet(path)
+    kept = monitoring.written_since(table, ago(days=-2))
+    assert [r.response_time_ms for r in kept.collect()] == [0]
+    scan = kept._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1
+    plain = spark.createDataFrame([(1,)], "a int")
+    assert monitoring.written_since(plain, NOW).count() == 1

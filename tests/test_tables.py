@@ -67,6 +67,15 @@ def test_retention(spark, tmp_path):
     assert untouched <= files(path)
 
 
+def test_retention_drops_a_boundary_day_without_newer_rows(spark, tmp_path):
+    path = str(tmp_path / "logs")
+    limit = NOW - timedelta(days=90)
+    logs_by_date(spark, path, (limit + timedelta(hours=1), "gone", False, 1), (NOW, "s", False, 1))
+    dropped = maintenance.apply_retention(spark, path, NOW + timedelta(hours=6))
+    assert dropped == ["2023-10-31"]
+    assert [r.transaction_name for r in scan(spark, path).collect()] == ["s"]
+
+
 def test_compaction_keeps_rows_and_merges_files(spark, tmp_path):
     source, target = tmp_path / "logs", tmp_path / "compact"
     for i in range(6):

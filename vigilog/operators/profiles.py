@@ -195,13 +195,16 @@ def profile(
 
 
 def _attach(result: DataFrame, measured: DataFrame, names: list[str]) -> DataFrame:
-    """Add columns by profile key. Slice keys and values may be NULL."""
+    """Add columns by profile key; slice keys and values may be NULL.
+
+    Every key is compared null-safe: a plain equality would let the optimizer push
+    not-null filters into one use of the value counts and not the other, and their
+    shuffle could no longer be shared.
+    """
     left, right = result.alias("l"), measured.alias("r")
     same = F.lit(True)
     for key in PROFILE_KEYS:
-        pair = F.col(f"l.{key}"), F.col(f"r.{key}")
-        nullable = key.startswith("slice")
-        same = same & (pair[0].eqNullSafe(pair[1]) if nullable else pair[0] == pair[1])
+        same = same & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
     return left.join(right, same, "left").select("l.*", *[F.col(f"r.{name}") for name in names])
 
 

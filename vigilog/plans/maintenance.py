@@ -127,16 +127,24 @@ def apply_retention(
     limit falls into is rewritten. The table must be one written in batches.
     """
     limit = utc(as_of) - keep
-    boundary = scan(spark, table).filter(F.col(date_column) == F.lit(limit.date()))
-    kept = retained(boundary, time_column, as_of, keep)
-    replace_dates(compacted(kept, time_column, date_column), table, [date_column])
-
     root = spark._jvm.org.apache.hadoop.fs.Path(table)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
     for entry in files.listStatus(root):
         name, _, value = entry.getPath().getName().partition("=")
-        if name == date_column and value < limit.date().isoformat():
+        if name != date_column:
+            continue
+        if value < limit.date().isoformat():
             files.delete(entry.getPath(), True)
             dropped.append(value)
+        elif value == limit.date().isoformat():
+            # Only this directory is listed and read.
+            path = entry.getPath().toString()
+            boundary = spark.read.option("basePath", table).parquet(path)
+            kept = retained(boundary, time_column, as_of, keep)
+            if kept.isEmpty():
+                files.delete(entry.getPath(), True)
+                dropped.append(value)
+            else:
+                replace_dates(compacted(kept, time_column, date_column), table, [date_column])
     return sorted(dropped)
