@@ -1,13 +1,11 @@
 import random
 
 import pytest
+from helpers import plan_of
 from pyspark.sql import functions as F
 
-from vigilog.operators.percentiles import (
-    _bucket,
-    approximate_percentiles,
-    exact_percentiles,
-)
+from vigilog.operators import percentiles
+from vigilog.operators.percentiles import approximate_percentiles, exact_percentiles
 
 FRACTIONS = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
@@ -34,9 +32,20 @@ def data():
     return rows
 
 
-def test_equal_to_the_builtin_percentile(spark):
+@pytest.mark.parametrize("limit", [10**6, 0], ids=["broadcast", "shuffled"])
+def test_equal_to_the_builtin_percentile(spark, monkeypatch, limit):
+    monkeypatch.setattr(percentiles, "BROADCAST_ROWS", limit)
     df = spark.createDataFrame(data(), "g string, v bigint").repartition(5)
-    ours = as_map(exact_percentiles(df, ["g"], "v", FRACTIONS))
+    if not limit:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = exact_percentiles(df, ["g"], "v", FRACTIONS)
+        assert ("BroadcastHashJoin" in plan_of(result, "simple")) == (limit > 0)
+        ours = as_map(result)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     theirs = as_map(builtin(df))
     assert ours.keys() == theirs.keys() and "empty" not in ours
     for group, row in theirs.items():
@@ -47,27 +56,76 @@ def test_equal_to_the_builtin_percentile(spark):
                 assert ours[group][name] == value
 
 
+def test_cells_spread_over_overlapping_groups(spark):
+    """Cells (g, h) feed the groups g, h and everything; some keys are NULL."""
+    rnd = random.Random(3)
+    rows = [
+        (rnd.choice(["a", "b", None]), rnd.choice([1, 2, None]), rnd.randint(0, 5000))
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "g string, h int, v bigint").repartition(4)
+
+    def spread(counts):
+        text = F.lit(None).cast("string")
+        kinds = F.array(
+            F.struct(F.lit("all").alias("kind"), text.alias("name")),
+            F.struct(F.lit("g").alias("kind"), F.col("g").alias("name")),
+            F.struct(F.lit("h").alias("kind"), F.col("h").cast("string").alias("name")),
+        )
+        return counts.withColumn("k", F.explode(kinds)).select("*", "k.*")
+
+    ours = exact_percentiles(
+        df, ["g", "h"], "v", {"p50": 0.5, "p95": 0.95}, spread, ["kind", "name"]
+    )
+    theirs = (
+        spread(df)
+        .groupBy("kind", "name")
+        .agg(
+            F.count("*").alias("value_count"),
+            F.avg("v").alias("value_mean"),
+            F.percentile("v", F.lit(0.5)).alias("p50"),
+            F.percentile("v", F.lit(0.95)).alias("p95"),
+        )
+    )
+    assert ours.columns == theirs.columns
+
+    def cells(frame):
+        return sorted(
+            [
+                tuple(round(c, 6) if isinstance(c, float) else c for c in r)
+                for r in frame.collect()
+            ],
+            key=str,
+        )
+
+    assert cells(ours) == cells(theirs)
+
+
 def test_buckets_keep_the_order_and_are_few(spark):
     edges = [2**e + d for e in range(1, 62) for d in (-1, 0, 1)]
     values = sorted({*edges, *[-v for v in edges], 0, -1, 2**63 - 1, -(2**63)})
-    df = spark.createDataFrame([(v,) for v in values], "v bigint")
-    rows = df.select("v", _bucket(F.col("v")).alias("b")).orderBy("v").collect()
-    buckets = [r.b for r in rows]
+    df = spark.createDataFrame([(v,) for v in values], "value bigint")
+    rows = percentiles.with_bucket(df).orderBy("value").collect()
+    buckets = [r.bucket for r in rows]
     assert buckets == sorted(buckets)
-    assert all(r.b <= r.v for r in rows)
-    assert all(r.b == r.v for r in rows if -8192 <= r.v < 8192)
-    width = spark.range(2**20 - 4096, 2**20).select(_bucket(F.col("id")).alias("b"))
-    assert width.distinct().count() == 4096 // 128
+    assert all(r.bucket <= r.value for r in rows)
+    exact = 2**percentiles.BUCKET_DIGITS
+    assert all(r.bucket == r.value for r in rows if -exact <= r.value < exact)
+    ends = spark.range(2**19, 2**20).select(F.col("id").alias("value"))
+    octave = percentiles.with_bucket(ends).select("bucket").distinct().count()
+    assert octave == 2 ** (percentiles.BUCKET_DIGITS - 1)
 
 
-def test_no_task_orders_a_whole_group(spark):
-    """The window over values is partitioned by bucket as well."""
+def test_the_second_pass_keeps_only_wanted_buckets(spark):
+    """Values are filtered before they are shuffled, and ordered within a bucket."""
     df = spark.createDataFrame(data(), "g string, v bigint")
-    plan = exact_percentiles(df, ["g"], "v", {"p95": 0.95})
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    by_value = [line for line in text.split("\n") if "Window" in line and "value#" in line]
-    assert by_value and all("bucket#" in line for line in by_value)
-    assert "Cartesian" not in plan._jdf.queryExecution().executedPlan().toString()
+    result = exact_percentiles(df, ["g"], "v", {"p95": 0.95})
+    lines = result._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    (window,) = [i for i, line in enumerate(lines) if "Window" in line]
+    assert "bucket#" in lines[window] and "value#" in lines[window]
+    plan = plan_of(result, "simple")
+    before_join = plan.split("BroadcastHashJoin")[1]
+    assert "Exchange hashpartitioning" not in before_join and "Cartesian" not in plan
 
 
 def test_approximation_is_close(spark):

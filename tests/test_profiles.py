@@ -1,3 +1,4 @@
+import os
 from datetime import timedelta
 
 import pytest
@@ -164,19 +165,7 @@ def test_the_fan_out_happens_after_the_reduction(spark):
         assert fans and max(above) > max(fans), "aggregate below the fan-out"
 
 
-def test_value_counts_are_shuffled_once(spark):
-    """Both uses of the fanned-out counts share one exchange."""
-    logs = audit_logs(read_events(spark, SF_DIR))
-    table = monitoring.run_monitor(logs, monitoring.AUDIT_MONITOR)
-    table.collect()
-    final = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("Generate explode(array(struct(granularity") == 2
-    assert "ReusedExchange" in final
-
-
 def test_refresh_prunes_old_files_and_days(spark, tmp_path):
-    import os
-
     path = str(tmp_path / "logs")
     rows = [(ago(days=d), "a", False, d) for d in range(4)]
     logs = ingested(audit(spark, rows), NOW).withColumn("log_date", F.to_date("log_timestamp"))

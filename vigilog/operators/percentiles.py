@@ -1,131 +1,199 @@
-"""Exact interpolated percentiles without holding a group in one task.
+"""Exact interpolated percentiles in two passes, without gathering any group.
 
 The built-in ``percentile`` keeps every distinct value of a group in the memory of one
-task. Here a group is spread over value buckets:
-
-1. count rows per (group, value) - partial sums run before the shuffle, and the shuffle
-   key contains the value, so a hot group is spread over all tasks;
-2. sum the counts per (group, bucket) and find, from the running total over buckets,
-   which bucket holds the wanted ranks. Buckets per group are bounded by a constant;
-3. only inside these buckets, order the values and read off the two neighbours of the
-   wanted position, then interpolate.
+task, and ordering the values would shuffle all of them. Instead:
+
+1. The first pass counts rows per value bucket. Buckets are few whatever the number of
+   rows, and partial counts leave each task before the shuffle. Running totals over the
+   buckets of a group tell which bucket holds the wanted ranks.
+2. The second pass looks at the values again but keeps only those in these buckets, a
+   small share of them, orders each bucket and reads off the two neighbours of the wanted
+   position.
+
+Rows may be counted in fine cells that are later spread over many groups (hours into days
+and slices). Then only the counts are spread; each row is matched once with the groups
+that need its bucket.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Leading binary digits that name a bucket. Values below 2^13 get a bucket each; a value
-# below 2^20 (17 minutes in milliseconds) shares one with at most 127 others.
-BUCKET_DIGITS = 12
+from vigilog.session import materialize
 
+# Leading binary digits that name a bucket: a value below 2^7 has a bucket of its own, one
+# below 2^20 (17 minutes in milliseconds) shares it with at most 8191 other values.
+BUCKET_DIGITS = 7
 
-def _bucket(value: Column) -> Column:
-    """Lower bound of the value's bucket: its leading digits, the others zero.
+# Tables of wanted buckets are broadcast up to this many rows.
+BROADCAST_ROWS = 500_000
 
-    Works for negative values too: the shift rounds down, and ``~v`` is ``-v - 1``.
-    """
-    magnitude = F.greatest(value, F.bitwise_not(value))
-    drop = F.greatest(F.length(F.bin(magnitude)) - F.lit(1 + BUCKET_DIGITS), F.lit(0))
-    kept = F.call_function("shiftright", value, drop)
-    return F.call_function("shiftleft", kept, drop)
 
+def with_bucket(df: DataFrame) -> DataFrame:
+    """Adds ``bucket``: the lower bound of the bucket of ``value``.
 
-def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, value, rows): the input of the percentiles. NULL values do not count."""
+    The leading digits are kept and the others zeroed. It works for negative values too:
+    the shift rounds down, and ``~v`` is ``-v - 1``. The logarithm of a large number may
+    be off by one, so the exponent is corrected by comparing whole numbers.
+    """
+    guess = "CAST(least(floor(log2(magnitude)), 62) AS INT)"
+    correction = """CASE WHEN shiftleft(1L, guess) > magnitude THEN -1
+        WHEN guess < 62 AND shiftleft(1L, guess + 1) <= magnitude THEN 1 ELSE 0 END"""
     return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("value"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        df.withColumn("magnitude", F.greatest("value", F.bitwise_not("value"), F.lit(1)))
+        .withColumn("guess", F.expr(guess))
+        .withColumn(
+            "dropped",
+            F.expr(f"greatest(guess + {correction} - {BUCKET_DIGITS - 1}, 0)"),
+        )
+        .withColumn("bucket", F.expr("shiftleft(shiftright(value, dropped), dropped)"))
+        .drop("magnitude", "guess", "dropped")
     )
 
 
-def percentiles_of_counts(
-    counts: DataFrame, keys: list[str], fractions: dict[str, float]
+def _same(keys: list[str], left: str, right: str) -> Column:
+    """Keys may be NULL, hence the null-safe comparison of every one."""
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return condition
+
+
+def _position(fraction: float) -> Column:
+    return (F.col("value_count") - 1) * F.lit(fraction)
+
+
+def _holds(rank: Column, before: str, rows: str) -> Column:
+    return (F.col(before) <= rank) & (rank < F.col(before) + F.col(rows))
+
+
+def _broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` must be a written table: its rows are counted from the file footers."""
+    small = df.count() <= BROADCAST_ROWS
+    return (F.broadcast(df) if small else df), small
+
+
+def _wanted_buckets(
+    cells: DataFrame, groups: list[str], fractions: dict[str, float]
 ) -> DataFrame:
-    """Per group: ``value_count``, ``value_mean`` and one column per named fraction."""
-    counts = counts.withColumn("bucket", _bucket(F.col("value")))
-    group = Window.partitionBy(*keys)
-    by_bucket = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    """The buckets that hold a wanted rank, with the number of rows in earlier ones."""
+    group = Window.partitionBy(*groups)
+    earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     histogram = (
-        counts.groupBy(*keys, "bucket")
-        .agg(
-            F.sum("rows").alias("bucket_rows"),
-            F.sum(F.col("rows") * F.col("value").cast("double")).alias("bucket_sum"),
-        )
+        cells.groupBy(*groups, "bucket")
+        .agg(F.sum("rows").alias("bucket_rows"), F.sum("total").alias("bucket_total"))
         .select(
-            *keys,
+            *groups,
             "bucket",
             "bucket_rows",
-            F.coalesce(F.sum("bucket_rows").over(by_bucket), F.lit(0)).alias("rows_before"),
+            F.coalesce(F.sum("bucket_rows").over(earlier), F.lit(0)).alias("rows_before"),
             F.sum("bucket_rows").over(group).alias("value_count"),
-            (F.sum("bucket_sum").over(group) / F.sum("bucket_rows").over(group)).alias(
+            (F.sum("bucket_total").over(group) / F.sum("bucket_rows").over(group)).alias(
                 "value_mean"
             ),
         )
     )
-
-    def position(fraction: float) -> Column:
-        return (F.col("value_count") - 1) * F.lit(fraction)
-
-    def holds(rank: Column, before: Column, rows: Column) -> Column:
-        return (before <= rank) & (rank < before + rows)
-
     wanted = F.lit(False)
     for fraction in fractions.values():
-        for rank in (F.floor(position(fraction)), F.ceil(position(fraction))):
-            wanted = wanted | holds(rank, F.col("rows_before"), F.col("bucket_rows"))
-    targets = histogram.filter(wanted).drop("bucket_rows")
+        for rank in (F.floor(_position(fraction)), F.ceil(_position(fraction))):
+            wanted = wanted | _holds(rank, "rows_before", "bucket_rows")
+    return histogram.filter(wanted).drop("bucket_rows")
 
-    # Groups may be NULL, hence the null-safe comparison on every key.
-    left, right = counts.alias("c"), targets.alias("t")
-    same = F.col("c.bucket").eqNullSafe(F.col("t.bucket"))
-    for key in keys:
-        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"t.{key}"))
-    inside = (
-        Window.partitionBy(*keys, "bucket")
+
+def exact_percentiles(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    fractions: dict[str, float],
+    spread: Callable[[DataFrame], DataFrame] | None = None,
+    groups: list[str] | None = None,
+) -> DataFrame:
+    """Per group: ``value_count``, ``value_mean`` and one column per named fraction.
+
+    ``value`` is an integer column; NULLs do not count. Groups are the ``keys``, unless
+    ``spread`` turns a row with the keys into one row per group, with columns ``groups``.
+    """
+    groups = groups or keys
+    rows = with_bucket(
+        df.filter(F.col(value).isNotNull()).select(
+            *keys, F.col(value).cast("bigint").alias("value")
+        )
+    )
+    cells = rows.groupBy(*keys, "bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("value").cast("double")).alias("total")
+    )
+    facts = ["rows_before", "value_count", "value_mean"]
+    if spread is None:
+        wanted = _wanted_buckets(cells, keys, fractions)
+        named = {key: key for key in keys}
+    else:
+        # The counts are read twice; without a copy the values would be scanned again.
+        fanned = spread(materialize(cells, "bucket-counts"))
+        targets, _ = _broadcast_if_small(
+            materialize(_wanted_buckets(fanned, groups, fractions), "group-buckets")
+        )
+        # Group columns get names of their own; cells and groups may share some.
+        named = {key: f"group_{key}" for key in groups}
+        wanted = (
+            fanned.alias("c")
+            .join(targets.alias("g"), _same([*groups, "bucket"], "c", "g"))
+            .select(
+                *[F.col(f"c.{key}").alias(key) for key in [*keys, "bucket"]],
+                *[F.col(f"g.{key}").alias(name) for key, name in named.items()],
+                *facts,
+            )
+        )
+    wanted, small = _broadcast_if_small(materialize(wanted, "wanted-buckets"))
+    if small:
+        counted = rows.withColumn("rows", F.lit(1).cast("bigint"))
+    else:
+        # Both sides are shuffled; equal values are counted before that.
+        counted = rows.groupBy(*keys, "bucket", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+    names = list(named.values())
+    extra = [name for name in names if name not in keys]
+    kept = (
+        counted.alias("r")
+        .join(wanted.alias("w"), _same([*keys, "bucket"], "r", "w"))
+        .select("r.*", *[F.col(f"w.{name}") for name in [*extra, *facts]])
+        .groupBy(*names, "bucket", "value")
+        .agg(F.sum("rows").alias("rows"), *[F.max(fact).alias(fact) for fact in facts])
+    )
+    smaller = (
+        Window.partitionBy(*names, "bucket")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranked = left.join(right, same).select(
-        *[F.col(f"c.{key}").alias(key) for key in keys],
-        F.col("c.bucket").alias("bucket"),
-        "value",
-        "rows",
-        "rows_before",
-        "value_count",
-        "value_mean",
-    )
-    ranked = ranked.withColumn(
-        "before", F.col("rows_before") + F.coalesce(F.sum("rows").over(inside), F.lit(0))
+    ranked = kept.withColumn(
+        "before", F.col("rows_before") + F.coalesce(F.sum("rows").over(smaller), F.lit(0))
     )
 
     def at(rank: Column) -> Column:
-        return F.max(F.when(holds(rank, F.col("before"), F.col("rows")), F.col("value")))
+        return F.max(F.when(_holds(rank, "before", "rows"), F.col("value"))).cast("double")
 
     picks = []
     for name, fraction in fractions.items():
-        picks.append(at(F.floor(position(fraction))).alias(f"{name}_low"))
-        picks.append(at(F.ceil(position(fraction))).alias(f"{name}_high"))
-    picked = ranked.groupBy(*keys).agg(
+        picks.append(at(F.floor(_position(fraction))).alias(f"{name}_low"))
+        picks.append(at(F.ceil(_position(fraction))).alias(f"{name}_high"))
+    picked = ranked.groupBy(*names).agg(
         F.max("value_count").alias("value_count"), F.max("value_mean").alias("value_mean"), *picks
     )
 
     results = []
     for name, fraction in fractions.items():
-        wanted = position(fraction)
-        low = F.col(f"{name}_low").cast("double")
-        high = F.col(f"{name}_high").cast("double")
-        between = (F.ceil(wanted) - wanted) * low + (wanted - F.floor(wanted)) * high
+        place = _position(fraction)
+        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+        between = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
         results.append(F.when(low == high, low).otherwise(between).alias(name))
-    return picked.select(*keys, "value_count", "value_mean", *results)
-
-
-def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, fractions: dict[str, float]
-) -> DataFrame:
-    return percentiles_of_counts(value_counts(df, keys, value), keys, fractions)
+    return picked.select(
+        *[F.col(name).alias(key) for key, name in named.items()],
+        "value_count",
+        "value_mean",
+        *results,
+    )
 
 
 def approximate_percentiles(

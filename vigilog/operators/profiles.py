@@ -5,8 +5,8 @@ at a time; the row of all rows together has a NULL ``slice_key``.
 
 Metrics are built from parts that add up. The big scan is reduced once, to one row per
 finest window and combination of slice values; granularities and slices are fanned out
-only afterwards, on that small result. Exact percentiles take the same road with value
-counts. A metric given as free SQL cannot be taken apart, so it is aggregated from the
+only afterwards, on that small result. Exact percentiles take the same road with counts
+per value bucket. A metric given as free SQL cannot be taken apart, so it is aggregated from the
 fanned-out rows themselves.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilog.functions import times
-from vigilog.operators.percentiles import percentiles_of_counts
+from vigilog.operators.percentiles import exact_percentiles
 
 GRANULARITIES = ("1 hour", "1 day")
 PROFILE_KEYS = ["granularity", "window_start", "window_seconds", "slice_key", "slice_value"]
@@ -156,17 +156,15 @@ def profile(
     for metric in _of_kind(metrics, "percentile"):
         by_column.setdefault(metric.source, {})[metric.name] = metric.fraction
     for column, fractions in by_column.items():
-        counts = (
-            rows.filter(F.col(column).isNotNull())
-            .groupBy(period, *dimensions, F.col(column).cast("bigint").alias("value"))
-            .agg(F.count(F.lit(1)).alias("rows"))
+        cells = rows.select(period, *dimensions, F.col(column).alias("_measured"))
+        measured = exact_percentiles(
+            cells,
+            ["_moment", *slices],
+            "_measured",
+            fractions,
+            spread=lambda counts: _fan_out(counts, "_moment", granularities, slices),
+            groups=PROFILE_KEYS,
         )
-        fanned = (
-            _fan_out(counts, "_moment", granularities, slices)
-            .groupBy(*PROFILE_KEYS, "value")
-            .agg(F.sum("rows").alias("rows"))
-        )
-        measured = percentiles_of_counts(fanned, PROFILE_KEYS, fractions)
         result = _attach(result, measured, list(fractions))
 
     free = _of_kind(metrics, "custom")
@@ -195,12 +193,7 @@ def profile(
 
 
 def _attach(result: DataFrame, measured: DataFrame, names: list[str]) -> DataFrame:
-    """Add columns by profile key; slice keys and values may be NULL.
-
-    Every key is compared null-safe: a plain equality would let the optimizer push
-    not-null filters into one use of the value counts and not the other, and their
-    shuffle could no longer be shared.
-    """
+    """Add columns by profile key; slice keys and values may be NULL."""
     left, right = result.alias("l"), measured.alias("r")
     same = F.lit(True)
     for key in PROFILE_KEYS:
