@@ -19,13 +19,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster.
 
-    Only where the session names none (plain local tests) is a temporary one set.
+    Only where neither the session nor its context names one (plain local tests) is a
+    temporary one set.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="vigilog-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    named = spark.conf.get(CHECKPOINT_KEY, None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="vigilog-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
