@@ -56,8 +56,10 @@ def test_equal_to_the_builtin_percentile(spark, monkeypatch, limit):
                 assert ours[group][name] == value
 
 
-def test_cells_spread_over_overlapping_groups(spark):
+@pytest.mark.parametrize("limit", [10**6, 0], ids=["broadcast", "counted first"])
+def test_cells_spread_over_overlapping_groups(spark, monkeypatch, limit):
     """Cells (g, h) feed the groups g, h and everything; some keys are NULL."""
+    monkeypatch.setattr(percentiles, "BROADCAST_ROWS", limit)
     rnd = random.Random(3)
     rows = [
         (rnd.choice(["a", "b", None]), rnd.choice([1, 2, None]), rnd.randint(0, 5000))
