@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilog.llm.common import table
 from vigilog.llm.line_dedup import dedup_lines
+from vigilog.llm.packing import pack
 from vigilog.llm.url_filter import ALLOW, BLOCK, Rule, judge, link_edges
 
 URL_RULES = [
@@ -27,6 +28,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = judge(pages.select("page_id", "url"), link_edges(pages), URL_RULES)
@@ -35,5 +40,6 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
 }
