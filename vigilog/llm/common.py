@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence, Sized
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,8 +37,8 @@ def hash128(*columns: Column) -> Column:
     )
 
 
-def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``most`` characters together, at least one text."""
+def slices(texts: Sequence[Sized], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts (or arrays) of about ``most`` elements, at least one text."""
     start = held = 0
     for n, text in enumerate(texts):
         if held and held + len(text) > most:

@@ -11,6 +11,7 @@ from vigilog.llm.chat import examples, read_back
 from vigilog.llm.common import table
 from vigilog.llm.fingerprint import edited_fingerprints
 from vigilog.llm.line_dedup import dedup_lines
+from vigilog.llm.near_dedup import near_duplicates
 from vigilog.llm.packing import pack
 from vigilog.llm.quality import fit, is_held_out, score
 from vigilog.llm.url_filter import ALLOW, BLOCK, Rule, judge, link_edges
@@ -62,6 +63,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(examples(turns.unionByName(planted)))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprint": op2_fingerprint,
     "op3_line_dedup": op3_line_dedup,
@@ -69,4 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
     "op9_chat_format": op9_chat_format,
+    "op10_near_dedup": op10_near_dedup,
 }
