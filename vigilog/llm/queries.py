@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilog.llm.chat import examples, read_back
 from vigilog.llm.common import table
+from vigilog.llm.decontaminate import find_leaks
 from vigilog.llm.fingerprint import edited_fingerprints
 from vigilog.llm.line_dedup import dedup_lines
 from vigilog.llm.near_dedup import near_duplicates
@@ -25,6 +26,10 @@ URL_RULES = [
 ]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_fingerprint": op2_fingerprint,
     "op3_line_dedup": op3_line_dedup,
     "op5_packing": op5_packing,
