@@ -19,10 +19,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import WHITE, map_texts
+from vigilog.llm.common import WHITE, map_texts, slices
 from vigilog.llm.fingerprint import window_hashes
 from vigilog.llm.perfect_hash import mix
 
@@ -172,6 +173,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     return train(samples)
 
 
+def predicted_score(text: Column, model: Model) -> Column:
+    """The score of a text column, for use in a filter."""
+
+    @F.pandas_udf("double")
+    def scores(texts: pd.Series) -> pd.Series:
+        own = [t or "" for t in texts]
+        found = [model.scores(own[s:e]) for s, e in slices(own)]
+        return pd.Series(np.concatenate([np.zeros(0), *found]))
+
+    return scores(text)
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score and predicted instead of text.
 

@@ -12,6 +12,7 @@ from vigilog.llm.common import table
 from vigilog.llm.decontaminate import find_leaks
 from vigilog.llm.fingerprint import edited_fingerprints
 from vigilog.llm.html_main import extract_main
+from vigilog.llm.license_scan import scan_licenses
 from vigilog.llm.line_dedup import dedup_lines
 from vigilog.llm.near_dedup import near_duplicates
 from vigilog.llm.packing import pack
@@ -42,6 +43,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprint": op2_fingerprint,
     "op3_line_dedup": op3_line_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
