@@ -3,7 +3,7 @@
 The built-in ``percentile`` keeps every distinct value of a group in the memory of one
 task, and ordering the values would shuffle all of them. Instead:
 
-1. The first pass counts rows per value bucket. Buckets are few whatever the number of
+1. The first pass counts equal values, and from that rows per value bucket. Buckets are few whatever the number of
    rows, and partial counts leave each task before the shuffle. Running totals over the
    buckets of a group tell which bucket holds the wanted ranks.
 2. The second pass looks at the values again but keeps only those in these buckets, a
@@ -13,6 +13,10 @@ task, and ordering the values would shuffle all of them. Instead:
 Rows may be counted in fine cells that are later spread over many groups (hours into days
 and slices). Then only the counts are spread; each row is matched once with the groups
 that need its bucket.
+
+Nothing runs while the plan is built, and adaptive execution chooses the joins. A task orders the
+distinct values of one bucket of one group: all there are below 2^7, 8192 for milliseconds up to 17
+minutes, and up to 2^(n-7) of them for values around 2^n.
 """
 
 from __future__ import annotations
@@ -22,15 +26,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilog.session import materialize
-
 # Leading binary digits that name a bucket: a value below 2^7 has a bucket of its own, one
 # below 2^20 (17 minutes in milliseconds) shares it with at most 8191 other values.
 BUCKET_DIGITS = 7
 
-# Tables of wanted buckets are broadcast up to this many rows.
-BROADCAST_ROWS = 500_000
-
 
 def with_bucket(df: DataFrame) -> DataFrame:
     """Adds ``bucket``: the lower bound of the bucket of ``value``.
@@ -70,12 +69,6 @@ def _holds(rank: Column, before: str, rows: str) -> Column:
     return (F.col(before) <= rank) & (rank < F.col(before) + F.col(rows))
 
 
-def _broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
-    """``df`` must be a written table: its rows are counted from the file footers."""
-    small = df.count() <= BROADCAST_ROWS
-    return (F.broadcast(df) if small else df), small
-
-
 def _wanted_buckets(
     cells: DataFrame, groups: list[str], fractions: dict[str, float]
 ) -> DataFrame:
@@ -122,19 +115,20 @@ def exact_percentiles(
             *keys, F.col(value).cast("bigint").alias("value")
         )
     )
-    cells = rows.groupBy(*keys, "bucket").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("value").cast("double")).alias("total")
+    # Equal values are counted once, before anything is shuffled or joined. Both passes read
+    # this one exchange.
+    counted = rows.groupBy(*keys, "bucket", "value").agg(F.count(F.lit(1)).alias("rows"))
+    cells = counted.groupBy(*keys, "bucket").agg(
+        F.sum(F.col("value").cast("double") * F.col("rows")).alias("total"),
+        F.sum("rows").alias("rows"),
     )
     facts = ["rows_before", "value_count", "value_mean"]
     if spread is None:
         wanted = _wanted_buckets(cells, keys, fractions)
         named = {key: key for key in keys}
     else:
-        # The counts are read twice; without a copy the values would be scanned again.
-        fanned = spread(materialize(cells, "bucket-counts"))
-        targets, _ = _broadcast_if_small(
-            materialize(_wanted_buckets(fanned, groups, fractions), "group-buckets")
-        )
+        fanned = spread(cells)
+        targets = _wanted_buckets(fanned, groups, fractions)
         # Group columns get names of their own; cells and groups may share some.
         named = {key: f"group_{key}" for key in groups}
         wanted = (
@@ -146,12 +140,6 @@ def exact_percentiles(
                 *facts,
             )
         )
-    wanted, small = _broadcast_if_small(materialize(wanted, "wanted-buckets"))
-    if small:
-        counted = rows.withColumn("rows", F.lit(1).cast("bigint"))
-    else:
-        # Both sides are shuffled; equal values are counted before that.
-        counted = rows.groupBy(*keys, "bucket", "value").agg(F.count(F.lit(1)).alias("rows"))
 
     names = list(named.values())
     extra = [name for name in names if name not in keys]
