@@ -1,5 +1,5 @@
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import NOW, ago
@@ -128,34 +128,57 @@ def test_routes(spark):
     ]
 
 
-def payloads(spark, *changes, size=1000):
+def payloads(spark, *changes):
     messages = alerts.alert_messages(anomaly(spark, *changes))
-    rows = alerts.notification_payloads(messages, NOW, size).orderBy("page").collect()
-    return [json.loads(r.payload) for r in rows]
+    rows = alerts.notification_payloads(messages, NOW).collect()
+    return [json.loads(r.payload) for r in sorted(rows, key=lambda r: (r.part != "header", r.id))]
 
 
-def test_payload_lists_critical_alerts_only(spark):
-    (body,) = payloads(spark, {"severity": "CRITICAL", "affected_service": None}, {}, {})
-    assert body == {
+def test_payload_has_a_header_and_a_line_for_each_critical_alert(spark):
+    head, line = payloads(spark, {"severity": "CRITICAL", "affected_service": None}, {}, {})
+    assert head == {
         "timestamp": "2024-01-29T00:00:00",
         "summary": "Log Anomaly Detection: 1 CRITICAL, 2 HIGH alerts",
         "critical_count": 1,
         "high_count": 2,
-        "alerts": [
-            {"severity": "CRITICAL", "type": "VOLUME_DROP", "service": None, "details": "d"}
-        ],
     }
+    assert line == {"severity": "CRITICAL", "type": "VOLUME_DROP", "service": None, "details": "d"}
     (quiet,) = payloads(spark, {})
-    assert quiet["alerts"] == [] and quiet["high_count"] == 1
+    assert quiet["critical_count"] == 0 and quiet["high_count"] == 1
     assert payloads(spark, {"severity": "LOW"}) == []
 
 
-def test_many_critical_alerts_are_paged_without_loss(spark):
+def test_the_form_of_a_payload_does_not_depend_on_the_number_of_alerts(spark):
     changes = [{"severity": "CRITICAL", "details": f"d{i}"} for i in range(50)]
-    bodies = payloads(spark, *changes, size=10)
-    assert len(bodies) == 5 and all(b["critical_count"] == 50 for b in bodies)
-    listed = [a["details"] for b in bodies for a in b["alerts"]]
-    assert sorted(listed) == sorted(f"d{i}" for i in range(50))
+    head, *lines = payloads(spark, *changes)
+    assert head["critical_count"] == 50
+    assert sorted(a["details"] for a in lines) == sorted(f"d{i}" for i in range(50))
+
+
+def test_a_dashboard_reads_as_far_back_as_its_text(spark, tmp_path):
+    from vigilog.sources.tables import append_anomalies, read_anomalies
+
+    path = str(tmp_path / "anomalies")
+    append_anomalies(anomaly(spark, {}, {"detected_at": utc(ago(days=20))}), path)
+    text = "SELECT count(*) AS n FROM {a} WHERE detected_at >= :as_of - INTERVAL 30 DAYS"
+    table = read_anomalies(spark, path)
+    assert dashboard(text, NOW, a=table).first().n == 2
+    month = dashboards.Dashboard(timedelta(days=30), text)
+    assert dashboard(month, NOW, a=table).first().n == 2
+
+
+def test_latest_keeps_rows_without_a_date(spark):
+    rows = [(1, NOW, NOW.date()), (2, None, None)]
+    table = spark.createDataFrame(rows, "id int, at timestamp, day date")
+    assert [r.id for r in alerts.latest(table, "at", 5, "id", "day").collect()] == [1, 2]
+
+
+def test_ids_of_different_parts_differ(spark):
+    from vigilog.functions.text import stable_id
+
+    rows = [("a|b", "c"), ("a", "b|c"), ("~", "c"), (None, "c"), ("1:a", ""), ("", "1:a")]
+    found = spark.createDataFrame(rows, "x string, y string").select(stable_id(F.col("x"), F.col("y")).alias("i"))
+    assert len({r.i for r in found.collect()}) == len(rows)
 
 
 def test_dashboards(spark):

@@ -1,4 +1,4 @@
-import os
+
 from datetime import timedelta
 
 import pytest
@@ -16,8 +16,10 @@ from vigilog.operators.profiles import (
     profile,
     total,
 )
+from vigilog.functions.times import utc_day
 from vigilog.plans import dashboards, monitoring
-from vigilog.sources.event_views import audit_logs, read_events
+from vigilog.registry.event_views import audit_logs, read_events
+from vigilog.sources.tables import scan
 
 
 def small(spark):
@@ -165,17 +167,53 @@ def test_the_fan_out_happens_after_the_reduction(spark):
         assert fans and max(above) > max(fans), "aggregate below the fan-out"
 
 
-def test_refresh_prunes_old_files_and_days(spark, tmp_path):
-    path = str(tmp_path / "logs")
-    rows = [(ago(days=d), "a", False, d) for d in range(4)]
-    logs = ingested(audit(spark, rows), NOW).withColumn("log_date", F.to_date("log_timestamp"))
-    logs.write.partitionBy("log_date").parquet(path)
-    for file in (tmp_path / "logs").glob("log_date=2024-01-2[678]/*.parquet"):
-        os.utime(file, (NOW.timestamp(), NOW.timestamp()))
-    table = spark.read.parquet(path)
-    kept = monitoring.written_since(table, ago(days=-2))
-    assert [r.response_time_ms for r in kept.collect()] == [0]
-    scan = kept._jdf.queryExecution().executedPlan().collectLeaves().head()
-    assert scan.metrics().apply("numFiles").value() == 1
-    plain = spark.createDataFrame([(1,)], "a int")
-    assert monitoring.written_since(plain, NOW).count() == 1
+def batches(spark, path, *numbers, stream="s"):
+    from vigilog.streaming.ingest import save_batch
+
+    for number, rows in numbers:
+        logs = audit(spark, rows).withColumn("log_date", utc_day(F.col("log_timestamp")))
+        save_batch(logs, path, stream, number)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_refresh_knows_the_batches_it_has_seen(spark, tmp_path, zone):
+    """A batch that started early and was committed after the refresh is profiled by the next."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        monitor = monitoring.Monitor(
+            "log_timestamp", ("transaction_name",), (mean("ms", "response_time_ms"),), "1 hour"
+        )
+        table, path = str(tmp_path / "logs"), str(tmp_path / "profile")
+        batches(spark, table, (0, [(ago(hours=h), "a", False, h) for h in range(0, 90, 5)]))
+        monitoring.create_profile_table(scan(spark, table), monitor, path)
+        assert monitoring.read_marks(spark, path) == {"s": 0}
+        batches(spark, table, (1, [(ago(hours=50), "a", False, 900)]))
+        batches(spark, table, (0, [(ago(hours=3), "b", False, 7)]), stream="t")
+        before = {f: f.stat().st_mtime_ns for f in (tmp_path / "profile").glob("*/*.parquet")}
+        monitoring.refresh_profile_table(scan(spark, table), monitor, path)
+        assert monitoring.read_marks(spark, path) == {"s": 1, "t": 0}
+        fresh = monitoring.read_profile_table(spark, path).drop(monitoring.WINDOW_DATE)
+        whole = monitoring.run_monitor(scan(spark, table), monitor)
+        assert sorted(map(str, fresh.collect())) == sorted(map(str, whole.collect()))
+        after = {f for f in (tmp_path / "profile").glob("*/*.parquet")}
+        assert {f.parent.name for f in after & set(before)} == {
+            "window_date=2024-01-25", "window_date=2024-01-27", "window_date=2024-01-29",
+        }
+        monitoring.refresh_profile_table(scan(spark, table), monitor, path)
+        assert {f for f in (tmp_path / "profile").glob("*/*.parquet")} == after
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_family_is_monitored_as_one_table(spark):
+    logs = {
+        "bpm_audit": audit(spark, [(NOW, "a", True, 1)]),
+        "m2e_audit": audit(spark, [(NOW, "a", False, 3)]).withColumn("extra", F.lit(1)),
+    }
+    rows = monitoring.run_monitor(
+        monitoring.family_logs(logs, "audit").withColumn("is_error", F.lit(False)),
+        monitoring.AUDIT_MONITOR,
+    )
+    assert {r.row_count for r in rows.collect()} == {2}
+    with pytest.raises(ValueError):
+        monitoring.family_logs(logs, "track_ctx")

@@ -8,11 +8,12 @@ from helpers import plan_of
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from vigilog.registry import oracle
 from vigilog.registry import queries as registered
-from vigilog.sources.event_views import audit_logs, log_events, read_events, track_logs
+from vigilog.registry.event_views import audit_logs, log_events, read_events, track_logs
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registered.QUERIES
+ORACLE = oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
 LAZY = [n for n in QUERIES if not n.startswith(("stream", "retention", "compaction"))]

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from vigilog.config import AUDIT, FEEDS, TRACK_CTX, TRACK_MDC
 from vigilog.operators.normalize import normalize
-from vigilog.sources import raw_views
-from vigilog.sources.event_views import read_events
+from vigilog.registry import raw_views
+from vigilog.registry.event_views import read_events
 from vigilog.sources.json_feeds import parse_lines, read_feed, write_lines
 from vigilog.sources.tables import scan
-from vigilog.streaming.ingest import quarantined, start_ingest
+from vigilog.streaming.ingest import quarantined, save_batch, start_ingest
 
 
 def ingest(spark, root, feed="bpm_audit", **options):
@@ -92,3 +92,36 @@ def test_parser_is_not_doubled_by_a_filter(spark):
     lines = spark.createDataFrame([("{}",)], "value string")
     df = normalize(parse_lines(lines, TRACK_MDC, F.col("value")), TRACK_MDC).filter("is_error")
     assert df._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    put(tmp_path, "a.json", *[{"level": "INFO", "timeMillis": 1704067200000 + i * 40_000_000} for i in range(4)])
+    df = normalize(read_feed(spark, AUDIT, str(tmp_path / "in")), AUDIT)
+    for _ in range(2):
+        save_batch(df, str(tmp_path / "t"), "q", 5)
+    table = scan(spark, str(tmp_path / "t"))
+    assert table.count() == 4 and {(r.ingest_query, r.ingest_batch) for r in table.collect()} == {("q", 5)}
+
+
+def test_an_ingested_table_can_be_compacted_trimmed_and_go_on(spark, tmp_path):
+    from datetime import datetime
+
+    from vigilog.plans import maintenance
+
+    path = str(tmp_path / "table")
+    for i in range(6):
+        put(tmp_path, f"{i}.json", {"level": "INFO", "timeMillis": 1704067200000 + i * 1000}, {"level": "WARN", "timeMillis": 1698796800000 + i})
+    ingest(spark, tmp_path, max_files=2)
+    before = sorted(r.timeMillis for r in scan(spark, path).collect())
+    maintenance.compact_table(spark, path, path)
+    assert sorted(r.timeMillis for r in scan(spark, path).collect()) == before and len(before) == 12
+    day = [f.name for f in (tmp_path / "table" / "log_date=2024-01-01").iterdir()]
+    assert len(day) == 2 and sum("compacted" in d for d in day) == 1
+    put(tmp_path, "new.json", {"level": "INFO", "timeMillis": 1704067200000})
+    ingest(spark, tmp_path)
+    maintenance.compact_table(spark, path, path)
+    dropped = maintenance.apply_retention(spark, path, datetime(2024, 2, 1))
+    assert dropped == ["2023-11-01"] and scan(spark, path).count() == 7
+    copy = str(tmp_path / "copy")
+    maintenance.compact_table(spark, path, copy)
+    assert scan(spark, copy).count() == 7

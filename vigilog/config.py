@@ -47,6 +47,9 @@ def utc(moment: datetime) -> datetime:
     return moment.astimezone(timezone.utc)
 
 
+END_OF_TIME = datetime(9999, 12, 30, tzinfo=timezone.utc)
+
+
 @dataclass(frozen=True)
 class Span:
     """A closed time range: both ends are included."""
@@ -70,6 +73,8 @@ class WindowConfig:
     long: timedelta = timedelta(minutes=30)
     baseline: timedelta = timedelta(days=7)
     baseline_gap: timedelta = timedelta(hours=1)
+    #: An instance whose clock is fast is alive. Close the range at ``as_of`` to replay the past.
+    closed_heartbeat: bool = False
 
     def at(self, as_of: datetime, heartbeat: timedelta) -> TimeWindows:
         now = utc(as_of)
@@ -78,7 +83,7 @@ class WindowConfig:
             medium=Span(now - self.medium, now),
             long=Span(now - self.long, now),
             baseline=Span(now - self.baseline, now - self.baseline_gap),
-            heartbeat=Span(now - heartbeat, now),
+            heartbeat=Span(now - heartbeat, now if self.closed_heartbeat else END_OF_TIME),
         )
 
 

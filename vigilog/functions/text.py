@@ -32,8 +32,14 @@ def filled(value: Column) -> Column:
 
 
 def stable_id(*parts: Column) -> Column:
-    """The same parts give the same id, so a rerun repeats its ids."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("~")) for p in parts]))
+    """The same parts give the same id, so a rerun repeats its ids.
+
+    Each part is preceded by its length (NULL has none), so different parts never join to
+    the same text.
+    """
+    texts = [p.cast("string") for p in parts]
+    sized = [F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]
+    return F.md5(F.concat_ws("|", *[F.coalesce(s, F.lit("~")) for s in sized]))
 
 
 def constant_map(entries: dict[str, str], key: Column) -> Column:

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from vigilog.config import Span, utc
 
-# Patterns of the timestamps that the feeds write. The trailing zone is
-# parsed as a zone, so the session's own zone cannot shift the instant.
-OFFSET_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"
-ZULU_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSX"
+# Shapes of the timestamps that the feeds write, with three and four digits of
+# a second. The zone is part of them, so the session's own zone cannot shift the instant.
+OFFSET_SHAPE = r"^(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3})([+-]\d\d)(\d\d)$"
+ZULU_SHAPE = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{4}(Z|[+-]\d\d(\d\d)?)$"
 
 # Milliseconds of 0001-01-01 and 9999-12-31, the range of a timestamp.
 MIN_MILLIS = -62_135_596_800_000
@@ -64,12 +64,35 @@ def in_any(df: DataFrame, column: str, spans: list[Span], date_column: str) -> D
     return prune_dates(df, date_column, spans).filter(keep)
 
 
+def utc_date(df: DataFrame, column: str) -> Column:
+    """The calendar day in UTC, whatever the session's zone is."""
+    if is_zoneless(df, column):
+        return F.to_date(column)
+    return utc_day(F.col(column))
+
+
+def utc_day(moment: Column) -> Column:
+    """The calendar day in UTC of a column that is an instant."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(moment) / 86_400).cast("int"))
+
+
+def _iso(text: Column, shape: str) -> Column:
+    """Texts of a shape by the native ISO parser, which is several times as fast as a pattern.
+
+    A cast reads offsets with a colon only, so ``+0000`` and ``+00`` are completed first.
+    """
+    with_colon = F.regexp_replace(text, r"([+-]\d\d)(\d\d)$", "$1:$2")
+    with_minutes = F.regexp_replace(with_colon, r"(\.\d+[+-]\d\d)$", "$1:00")
+    whole = F.when(text.endswith("Z"), text).otherwise(with_minutes)
+    return F.when(text.rlike(shape), whole.try_cast("timestamp"))
+
+
 def parse_zulu(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(ZULU_PATTERN))
+    return _iso(text, ZULU_SHAPE)
 
 
 def parse_offset(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(OFFSET_PATTERN))
+    return _iso(text, OFFSET_SHAPE)
 
 
 def epoch_millis(millis: Column) -> Column:

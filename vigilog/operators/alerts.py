@@ -112,7 +112,7 @@ def alert_messages(anomalies: DataFrame) -> DataFrame:
 
 
 def rendered(messages: DataFrame) -> DataFrame:
-    """Messages as text. Lines without a value are left out; the text ends in a newline."""
+    """Messages as text (the labels are fixed values). Lines without a value are left out; the text ends in a newline."""
 
     def line(label: str, value: Column, present: Column | None = None) -> Column:
         text = F.concat(F.lit(f"  {label}: "), value)
@@ -158,38 +158,15 @@ def route_counts(messages: DataFrame) -> DataFrame:
     )
 
 
-def notification_payloads(
-    messages: DataFrame, as_of: datetime, alerts_per_page: int = 1000
-) -> DataFrame:
-    """JSON bodies for a webhook: both counts, and every CRITICAL alert.
+def notification_payloads(messages: DataFrame, as_of: datetime) -> DataFrame:
+    """JSON for a webhook: a header with both counts, and a line for every CRITICAL alert.
 
-    No body if nothing is critical or high. A flood of critical alerts is spread over
-    pages by a hash of the alert id - each alert is in exactly one page - so no single
-    row has to hold them all. Within a page they are ordered by id.
+    Columns ``part`` (``header`` or ``alert``), ``id`` of the alert and ``payload``. The form is
+    the same for one alert and for millions, and no row holds more than one. Nothing if
+    nothing is critical or high.
     """
-    counts = messages.agg(
-        F.count_if(F.col("severity") == "CRITICAL").alias("critical_count"),
-        F.count_if(F.col("severity") == "HIGH").alias("high_count"),
-    ).withColumn("pages", F.ceil(F.greatest("critical_count", F.lit(1)) / F.lit(alerts_per_page)))
-    header = counts.filter((F.col("critical_count") > 0) | (F.col("high_count") > 0)).withColumn(
-        "page", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("pages")))
-    )
-    alert = F.struct(
-        F.lit("CRITICAL").alias("severity"), F.col("type"), F.col("service"), F.col("details")
-    )
-    body = (
-        messages.filter(F.col("severity") == "CRITICAL")
-        .select(
-            "id",
-            alert.alias("alert"),
-            (F.pmod(F.xxhash64("id"), counts.select("pages").scalar()) + 1).alias("page"),
-        )
-        .groupBy("page")
-        .agg(F.sort_array(F.collect_list(F.struct("id", "alert"))).alias("entries"))
-        .select("page", F.transform("entries", lambda entry: entry["alert"]).alias("alerts"))
-    )
-    empty = F.array().cast(body.schema["alerts"].dataType)
-    payload = F.struct(
+    # The summary sentence and the keys of the JSON.
+    header = F.struct(
         F.date_format(instant(as_of), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.concat(
             F.lit("Log Anomaly Detection: "),
@@ -200,14 +177,20 @@ def notification_payloads(
         ).alias("summary"),
         F.col("critical_count"),
         F.col("high_count"),
-        F.coalesce("alerts", empty).alias("alerts"),
     )
-    return header.join(body, "page", "left").select(
-        "page",
-        "pages",
-        "critical_count",
-        "high_count",
-        F.to_json(payload, {"ignoreNullFields": "false"}).alias("payload"),
+    counts = messages.agg(
+        F.count_if(F.col("severity") == "CRITICAL").alias("critical_count"),
+        F.count_if(F.col("severity") == "HIGH").alias("high_count"),
+    ).filter((F.col("critical_count") > 0) | (F.col("high_count") > 0))
+    alert = F.struct("severity", "type", "service", "details")
+
+    def line(part: str, id_: Column, payload: Column) -> list[Column]:
+        text = F.to_json(payload, {"ignoreNullFields": "false"})
+        return [F.lit(part).alias("part"), id_.alias("id"), text.alias("payload")]
+
+    critical = messages.filter(F.col("severity") == "CRITICAL")
+    return counts.select(*line("header", F.lit(None).cast("string"), header)).unionByName(
+        critical.select(*line("alert", F.col("id"), alert))
     )
 
 
@@ -220,7 +203,7 @@ def latest(
     """Newest rows first; Spark keeps ``limit`` rows per task, not a global sort.
 
     Of a table partitioned by date only the newest partitions are read: as many as it
-    takes to hold ``limit`` rows. Counting rows per partition reads file footers only.
+    takes to hold ``limit`` rows, and the one without a date. Counting rows per partition reads file footers only.
     """
     if date_column is not None:
         newest_first = Window.orderBy(F.desc(date_column)).rowsBetween(
@@ -230,5 +213,6 @@ def latest(
         needed = per_date.select(
             date_column, F.coalesce(F.sum("count").over(newest_first), F.lit(0)).alias("newer")
         ).filter(F.col("newer") < limit)
-        df = df.filter(F.col(date_column) >= needed.agg(F.min(date_column)).scalar())
+        oldest = needed.agg(F.min(date_column)).scalar()
+        df = df.filter((F.col(date_column) >= oldest) | F.col(date_column).isNull())
     return df.orderBy(F.desc(time_column), tiebreak).limit(limit)

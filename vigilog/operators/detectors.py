@@ -1,5 +1,7 @@
 """The six detectors, each a function from DataFrames to anomaly rows.
 
+The sentences of ``details`` and the keys of ``metadata`` are fixed values.
+
 ``detect_*`` functions take the log tables. The functions they call take counters, so
 that a full run (vigilog.plans.detection) can feed all of them from one scan.
 """
@@ -167,7 +169,7 @@ def missing_heartbeats(
     return anomaly_rows(
         silent,
         windows=windows,
-        span=windows.heartbeat,
+        span=Span(windows.heartbeat.start, windows.as_of),
         anomaly_type=F.lit("MISSING_HEARTBEAT"),
         severity=F.lit("HIGH"),
         service=F.col("service"),

@@ -79,7 +79,7 @@ def _assemble(df: DataFrame, log_timestamp: Column, derived: dict[str, Column])
     head = {
         "ingestion_timestamp": F.current_timestamp(),
         "log_timestamp": log_timestamp,
-        "log_date": F.to_date(log_timestamp),
+        "log_date": times.utc_day(log_timestamp),
         "is_error": _flag(F.col("level").isin(*ERROR_LEVELS)),
     }
     columns = [value.alias(name) for name, value in {**head, **derived}.items()]

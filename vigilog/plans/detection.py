@@ -8,12 +8,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from vigilog.config import ALL_FAMILIES, AUDIT, FEEDS, TRACK, DetectorConfig
+from vigilog.config import ALL_FAMILIES, AUDIT, FEEDS, TRACK, DetectorConfig, utc
 from vigilog.operators import detectors as d
 from vigilog.operators.alerts import by_type
 from vigilog.operators.counters import counter_rollup, row_counters
-from vigilog.session import materialize
-from vigilog.sources.tables import append_anomalies
+from vigilog.schemas import ANOMALIES
+from vigilog.session import Files, materialize, scratch
+from vigilog.sources.tables import DETECTED_DATE, RUN, append_anomalies
 
 Detector = Callable[[Mapping[str, DataFrame], DetectorConfig, datetime], DataFrame]
 
@@ -72,10 +73,19 @@ def run_detection(
 def detect_and_save(
     logs: Mapping[str, DataFrame], config: DetectorConfig, as_of: datetime, table: str
 ) -> DataFrame:
-    """Append a run to the anomalies table; returns its summary.
+    """Save a run in the anomalies table; returns its summary.
 
-    The run is written once and summarised from that copy, not computed twice.
+    The same run again replaces its rows, also if it finds fewer. The summary reads what was
+    saved, and the run's intermediate copies are deleted.
     """
-    found = materialize(run_detection(logs, config, as_of), "anomalies")
-    append_anomalies(found, table)
-    return by_type(found)
+    spark = next(iter(logs.values())).sparkSession
+    micros = round(utc(as_of).timestamp() * 1_000_000)
+    folder = f"{table}/{DETECTED_DATE}={utc(as_of).date()}/{RUN}=t{micros}"
+    files = Files(spark, table)
+    with scratch(spark):
+        found = materialize(run_detection(logs, config, as_of), "anomalies")
+        files.delete(folder)
+        append_anomalies(found, table)
+    if not files.exists(folder):
+        return by_type(spark.createDataFrame([], ANOMALIES))
+    return by_type(spark.read.schema(ANOMALIES).parquet(folder))

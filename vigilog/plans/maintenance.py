@@ -1,10 +1,11 @@
 """Upkeep of the tables: acknowledging, retention and compaction.
 
-All of it rewrites whole date partitions and leaves the others alone.
+All of it rewrites whole partitions with all of their columns and leaves the others alone.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,24 @@ from pyspark.sql import functions as F
 
 from vigilog.config import utc
 from vigilog.functions.times import instant, is_zoneless
+from vigilog.session import Files
 from vigilog.sources.tables import (
     DETECTED_DATE,
+    INGEST_BATCH,
+    INGEST_QUERY,
+    LOG_BATCH,
     LOG_DATE,
+    RUN,
+    batch_name,
     read_anomalies,
     replace_dates,
     scan,
 )
 
+COMPACTED = "compacted"
+#: Days or runs that may be broadcast to prune folders; beyond it the same join is shuffled.
+FEW_FOLDERS = 20_000
+
 
 def acknowledged(anomalies: DataFrame, ids: DataFrame, as_of: datetime) -> DataFrame:
     """Mark the anomalies whose id is in ``ids`` (a column ``anomaly_id``).
@@ -49,7 +60,7 @@ def acknowledged(anomalies: DataFrame, ids: DataFrame, as_of: datetime) -> DataF
 def acknowledge(
     spark: SparkSession, table: str, ids: list[str] | DataFrame, as_of: datetime
 ) -> None:
-    """Acknowledge in place: only the dates that hold one of the ids are rewritten.
+    """Acknowledge in place: only the runs that hold one of the ids are rewritten, all columns.
 
     ``ids`` is a list, or a DataFrame with a column ``anomaly_id`` where there are many.
     """
@@ -60,15 +71,18 @@ def acknowledge(
     else:
         return
     anomalies = read_anomalies(spark, table)
-    dates = anomalies.join(wanted, "anomaly_id", "left_semi").select(DETECTED_DATE).distinct()
-    # Calendar days are few by nature; the broadcast prunes directories at run time.
-    affected = anomalies.join(F.broadcast(dates), DETECTED_DATE, "left_semi")
-    columns = [c for c in affected.columns if c != DETECTED_DATE]
-    replace_dates(
-        acknowledged(affected, wanted, as_of).select(*columns, DETECTED_DATE),
-        table,
-        [DETECTED_DATE],
-    )
+    folders = [c for c in (DETECTED_DATE, RUN) if c in anomalies.columns]
+    hit = anomalies.join(wanted, "anomaly_id", "left_semi").select(*folders).distinct()
+    affected = anomalies.join(broadcast_few(hit), folders, "left_semi")
+    replace_dates(acknowledged(affected, wanted, as_of), table, folders)
+
+
+def broadcast_few(keys: DataFrame) -> DataFrame:
+    """Broadcast calendar days or runs, which prunes folders at run time, if they are few.
+
+    Garbage in a time column can make days many; then it is an ordinary join.
+    """
+    return F.broadcast(keys) if keys.count() <= FEW_FOLDERS else keys
 
 
 def expired(df: DataFrame, time_column: str, as_of: datetime, keep: timedelta):
@@ -104,13 +118,47 @@ def compact_table(
 ) -> None:
     """Rewrite partitions of ``source`` with few large files into ``target``.
 
-    ``target`` may be the same path for a table written in batches. A streaming sink
-    keeps a log of its own files, so compact that one into a second table.
+    ``target`` may be the same path. Of a table that streams write, the newest batch of each
+    stream is left as it is, because only that one may still be repeated; the others of a date
+    become one. In place, the new folder is committed before the old ones go, so nothing is ever
+    missing; a reader that lists the table just in between sees a date's rows twice.
     """
     rows = scan(spark, source)
     if dates is not None:
         rows = rows.filter(F.col(date_column).isin(*dates))
-    replace_dates(compacted(rows, time_column, date_column), target, [date_column])
+    if LOG_BATCH not in rows.columns:
+        replace_dates(compacted(rows, time_column, date_column), target, [date_column])
+        return
+    newest = newest_batches(scan(spark, source))
+    open_ = {batch_name(stream, number) for stream, number in newest.items()}
+    merged = compacted(rows.filter(~F.col(LOG_BATCH).isin(*open_)), time_column, date_column)
+    name = f"{COMPACTED}-{uuid.uuid4().hex}"
+    merged = merged.withColumn(LOG_BATCH, F.lit(name))
+    if source != target:
+        replace_dates(
+            merged.unionByName(rows.filter(F.col(LOG_BATCH).isin(*open_))),
+            target,
+            [date_column, LOG_BATCH],
+        )
+        return
+    files = Files(spark, source)
+    wanted = None if dates is None else {str(d) for d in dates}
+    old = []
+    for folder in files.folders(source):
+        column, _, value = folder.partition("=")
+        if column == date_column and (wanted is None or value in wanted):
+            for batch in files.folders(f"{source}/{folder}"):
+                if batch.partition("=")[2] not in open_:
+                    old.append(f"{source}/{folder}/{batch}")
+    merged.write.mode("append").partitionBy(date_column, LOG_BATCH).parquet(source)
+    for path in old:
+        files.delete(path)
+
+
+def newest_batches(table: DataFrame) -> dict[str, int]:
+    """Last batch of each stream that wrote into a table: one number a stream."""
+    found = table.groupBy(INGEST_QUERY).agg(F.max(INGEST_BATCH).alias("n")).collect()
+    return {r[INGEST_QUERY]: r["n"] for r in found if r[INGEST_QUERY] is not None}
 
 
 def apply_retention(
@@ -123,28 +171,34 @@ def apply_retention(
 ) -> list[str]:
     """Delete old rows in place; returns the dates that were dropped whole.
 
-    Expired days are dropped as directories, without reading a row. Only the day the
-    limit falls into is rewritten. The table must be one written in batches.
+    Dates are days in UTC. Expired days are dropped as folders, without reading a row. Only the
+    day the limit falls into is rewritten, batch by batch if it has batches.
     """
     limit = utc(as_of) - keep
-    root = spark._jvm.org.apache.hadoop.fs.Path(table)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = Files(spark, table)
     dropped = []
-    for entry in files.listStatus(root):
-        name, _, value = entry.getPath().getName().partition("=")
+    for folder in files.folders(table):
+        name, _, value = folder.partition("=")
         if name != date_column:
             continue
+        path = f"{table}/{folder}"
         if value < limit.date().isoformat():
-            files.delete(entry.getPath(), True)
+            files.delete(path)
             dropped.append(value)
         elif value == limit.date().isoformat():
-            # Only this directory is listed and read.
-            path = entry.getPath().toString()
-            boundary = spark.read.option("basePath", table).parquet(path)
-            kept = retained(boundary, time_column, as_of, keep)
+            day = scan(spark, table).filter(F.col(date_column) == F.lit(limit.date()))
+            kept = retained(day, time_column, as_of, keep)
+            inner = files.folders(path)
             if kept.isEmpty():
-                files.delete(entry.getPath(), True)
+                files.delete(path)
                 dropped.append(value)
+            elif inner:
+                column = inner[0].partition("=")[0]
+                left = {r[0] for r in kept.select(F.col(column).cast("string")).distinct().collect()}
+                replace_dates(kept, table, [date_column, column])
+                for part in inner:
+                    if part.partition("=")[2] not in left:
+                        files.delete(f"{path}/{part}")
             else:
                 replace_dates(compacted(kept, time_column, date_column), table, [date_column])
     return sorted(dropped)

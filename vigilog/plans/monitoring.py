@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilog.config import utc
-from vigilog.functions.times import instant
+from vigilog.config import FEEDS
+from vigilog.functions.times import instant, utc_date, utc_day
 from vigilog.operators.profiles import (
     Metric,
     distinct,
@@ -20,7 +21,9 @@ from vigilog.operators.profiles import (
     profile,
     total,
 )
-from vigilog.sources.tables import LOG_DATE, replace_dates, scan
+from vigilog.plans.maintenance import broadcast_few, newest_batches
+from vigilog.session import Files
+from vigilog.sources.tables import INGEST_BATCH, INGEST_QUERY, LOG_DATE, replace_dates, scan
 
 WINDOW_DATE = "window_date"
 
@@ -87,52 +90,88 @@ ANOMALY_MONITOR = Monitor(
 )
 
 
-def written_since(df: DataFrame, since: datetime) -> DataFrame:
-    """Skip files that are too old to hold rows ingested after ``since``.
+def run_monitor(df: DataFrame, monitor: Monitor) -> DataFrame:
+    return profile(df, monitor.time_column, list(monitor.metrics), list(monitor.slices))
 
-    A file is written after its rows were ingested; an hour is allowed for clocks that
-    differ. Spark drops such files while planning, so they are not even opened. Rows that
-    do not come straight from files are returned as they are.
-    """
-    modified = "_metadata.file_modification_time"
-    try:
-        return df.filter(F.col(modified) > instant(utc(since) - timedelta(hours=1)))
-    except AnalysisException:
-        return df
 
+def family_logs(logs: Mapping[str, DataFrame], family: str) -> DataFrame:
+    """The feeds of a family as one table, with the key of the feed as ``log_type``.
 
-def run_monitor(df: DataFrame, monitor: Monitor) -> DataFrame:
-    return profile(df, monitor.time_column, list(monitor.metrics), list(monitor.slices))
+    Columns that only some of the feeds have are null in the others.
+    """
+    own = [df.withColumn("log_type", F.lit(k)) for k, df in logs.items() if FEEDS[k].family == family]
+    if not own:
+        raise ValueError(f"none of the given logs belongs to {family}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), own)
 
 
 def _with_date(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(WINDOW_DATE, F.to_date("window.start"))
+    return rows.withColumn(WINDOW_DATE, utc_day(F.col("window.start")))
+
+
+def _marks_path(path: str) -> str:
+    """Inside the table, below a name that scans skip."""
+    return f"{path.rstrip('/')}/_marks"
+
+
+def read_marks(spark: SparkSession, path: str) -> dict[str, int]:
+    """The last batch of each stream that a profile table has seen."""
+    folders = Files(spark, path).folders(_marks_path(path))
+    if not folders:
+        return {}
+    rows = spark.read.parquet(f"{_marks_path(path)}/{folders[-1]}").collect()
+    return {r["stream"]: r["batch"] for r in rows}
+
+
+def _write_marks(spark: SparkSession, path: str, marks: dict[str, int]) -> None:
+    files = Files(spark, path)
+    old = files.folders(_marks_path(path))
+    number = int(old[-1]) + 1 if old else 0
+    rows = spark.createDataFrame(sorted(marks.items()), "stream string, batch bigint")
+    rows.coalesce(1).write.parquet(f"{_marks_path(path)}/{number:012d}")
+    for name in old:
+        files.delete(f"{_marks_path(path)}/{name}")
 
 
 def create_profile_table(df: DataFrame, monitor: Monitor, path: str) -> None:
-    """The first, complete refresh."""
+    """The first, complete refresh. Of an ingested table it notes the batches it has seen."""
+    marks = newest_batches(df) if INGEST_BATCH in df.columns else None
     replace_dates(_with_date(run_monitor(df, monitor)), path, [WINDOW_DATE])
+    if marks:
+        _write_marks(df.sparkSession, path, marks)
+
 
+def refresh_profile_table(
+    df: DataFrame, monitor: Monitor, path: str, since: datetime | None = None
+) -> None:
+    """Recompute only the days (in UTC) that received rows since the last refresh.
 
-def refresh_profile_table(df: DataFrame, monitor: Monitor, path: str, since: datetime) -> None:
-    """Recompute only the days that received rows ingested after ``since``.
+    What is new is told by the batches that the table has not seen: a batch that began before
+    the last refresh and was committed after it is new. For a table without batches ``since``
+    says from which ingestion time on rows are new.
 
     Late rows may belong to any day, so the touched days are looked up, and all rows of
     these days are read again. Days hold whole windows of every granularity. Only their
-    partitions of the profile are replaced.
+    partitions of the profile are replaced. Parquet statistics of the batch (or the ingestion
+    time) skip files without new rows.
     """
-    day = F.to_date(monitor.time_column)
-    touched = (
-        written_since(df, since)
-        .filter(F.col("ingestion_timestamp") > instant(since))
-        .select(day.alias("touched"))
-        .distinct()
-    )
-    # Calendar days are few by nature, so they may be broadcast; the rows are not shuffled,
-    # and with a date partition column whole directories are pruned at run time.
+    marks = None
+    if since is not None:
+        new = F.col("ingestion_timestamp") > instant(since)
+    else:
+        seen, marks = read_marks(df.sparkSession, path), newest_batches(df)
+        new = F.lit(False)
+        for stream, last in marks.items():
+            batch = F.col(INGEST_BATCH)
+            later = (batch > seen.get(stream, -1)) & (batch <= last)
+            new = new | ((F.col(INGEST_QUERY) == stream) & later)
+    day = utc_date(df, monitor.time_column)
+    touched = df.filter(new).select(day.alias("touched")).distinct()
     own_date = F.col(LOG_DATE) if LOG_DATE in df.columns else day
-    stale = df.join(F.broadcast(touched), own_date == F.col("touched"), "left_semi")
+    stale = df.join(broadcast_few(touched), own_date == F.col("touched"), "left_semi")
     replace_dates(_with_date(run_monitor(stale, monitor)), path, [WINDOW_DATE])
+    if marks:
+        _write_marks(df.sparkSession, path, marks)
 
 
 def read_profile_table(spark: SparkSession, path: str) -> DataFrame:

@@ -46,7 +46,9 @@ runs AS (
 CURRENT = "log_timestamp BETWEEN now - INTERVAL 72 HOUR AND now"
 LONG = "log_timestamp BETWEEN now - INTERVAL 120 HOUR AND now"
 BASELINE = "log_timestamp BETWEEN now - INTERVAL 21 DAY AND now - INTERVAL 72 HOUR"
-HEARTBEAT = "log_timestamp BETWEEN now - INTERVAL 24 HOUR AND now"
+HEARTBEAT = "log_timestamp >= now - INTERVAL 24 HOUR"
+
+NAMED = "CASE WHEN is_audit THEN coalesce(svc, '{}') ELSE svc END"
 
 DETECTORS = f"""
 d1_now AS (
@@ -66,9 +68,10 @@ d1 AS (
   WHERE a.n >= 10 AND (100.0 * a.failures / a.n) / (100.0 * b.failures / b.n + 0.01) >= 2.0
 ),
 d2 AS (
-  SELECT DISTINCT now, log_type, svc, inst, cluster FROM runs, feeds WHERE {BASELINE}
+  SELECT DISTINCT now, log_type, {NAMED.format('unknown')} AS svc, inst, cluster FROM runs, feeds
+  WHERE {BASELINE} AND (is_audit OR svc IS NOT NULL)
   EXCEPT
-  SELECT DISTINCT now, log_type, svc, inst, cluster FROM runs, feeds WHERE {HEARTBEAT}
+  SELECT DISTINCT now, log_type, {NAMED.format('unknown')}, inst, cluster FROM runs, feeds WHERE {HEARTBEAT}
 ),
 d3_all AS (
   SELECT now, log_type, source_table, svc, count(*) AS n, avg(ms) AS mean,
@@ -84,10 +87,11 @@ d4 AS (
   GROUP BY ALL HAVING count(*) >= 3
 ),
 d5_now AS (
-  SELECT now, log_type, svc, count(*) AS n FROM runs, feeds WHERE {CURRENT} GROUP BY ALL
+  SELECT now, log_type, {NAMED.format('audit_service')} AS svc, count(*) AS n FROM runs, feeds
+  WHERE {CURRENT} AND (is_audit OR svc IS NOT NULL) GROUP BY ALL
 ),
 d5_buckets AS (
-  SELECT now, log_type, svc, floor(epoch(log_timestamp) / (72 * 3600)) AS bucket, count(*) AS n
+  SELECT now, log_type, {NAMED.format('audit_service')} AS svc, floor(epoch(log_timestamp) / (72 * 3600)) AS bucket, count(*) AS n
   FROM runs, feeds WHERE {BASELINE} GROUP BY ALL
 ),
 d5_then AS (
@@ -132,18 +136,17 @@ def _record(
     log_count: str = "NULL",
 ) -> str:
     """The columns of an anomaly; ``kind`` and the others are SQL expressions."""
-    identity = ", ".join(
-        [
+    parts = [
             kind,
             "CAST(CAST(epoch(now) AS BIGINT) AS VARCHAR)",
             "log_type",
-            f"coalesce({service}, '~')",
-            f"coalesce({instance}, '~')",
-            f"coalesce({cluster}, '~')",
-        ]
-    )
+            service,
+            instance,
+            cluster,
+    ]
+    parts = ", ".join(f"coalesce(length({p}) || ':' || ({p}), '~')" for p in parts)
     return f"""
-    md5(concat_ws('|', {identity})) AS anomaly_id,
+    md5(concat_ws('|', {parts})) AS anomaly_id,
     {kind} AS anomaly_type,
     {severity} AS severity,
     now AS detected_at,
@@ -305,39 +308,37 @@ def _over_messages(body: str) -> str:
 
 
 def _draw(salt: int, size: int) -> str:
-    return f"(((event_id % 1000000007) * 48271 + {salt}) % 2147483647 % {size})"
-
+    mixed = f"(event_id % 999983 * {104729 * (2 * salt + 1)} + {15485863 * salt})"
+    return f"({mixed} % 1000003 % {size})"
 
-def _between(salt: int, low: int, high: int) -> str:
-    return f"({_draw(salt, high - low + 1)} + {low})"
 
-
-INJECTED = f"""
-kinds AS (
-  SELECT *, CASE WHEN {_draw(1, 10000)} < 500 THEN
-    (['high_response_time', 'failure', 'timeout', 'missing_heartbeat'])[{_draw(2, 4)} + 1] END AS kind,
-    (['500', '503', '504'])[{_draw(3, 3)} + 1] AS code
+OUTCOMES = f"""
+outcomes AS (
+  SELECT *, CASE WHEN {_draw(0, 7)} = 0 THEN (['slow', 'refused', 'stuck'])[{_draw(1, 3)} + 1] END
+    AS outcome, CAST({_draw(2, 60)} + 500 AS VARCHAR) AS code,
+    {_draw(3, 7000)} + 31000 AS slow, {_draw(4, 9000)} + 45000 AS stuck
   FROM events
 ),
-injected AS (
-  SELECT event_id, ts, user_id, event_type, kind,
-    CASE kind WHEN 'failure' THEN 'FAILED' WHEN 'timeout' THEN 'TIMEOUT' ELSE 'COMPLETE' END AS audit_status,
-    CASE kind WHEN 'failure' THEN code WHEN 'timeout' THEN '408' ELSE '0' END AS audit_code,
-    CASE WHEN kind IS NULL THEN {_between(6, 10, 3000)}
-         WHEN kind = 'failure' THEN {_between(7, 5000, 15000)}
-         WHEN kind = 'high_response_time' THEN {_between(4, 35000, 90000)}
-         WHEN kind = 'timeout' THEN {_between(5, 60000, 120000)} END AS audit_elapsed,
-    CASE WHEN kind = 'failure' THEN code END AS track_code,
-    CASE WHEN kind = 'timeout' THEN {_between(5, 60000, 120000)}
-         WHEN kind = 'high_response_time' THEN {_between(4, 35000, 90000)}
-         ELSE {_between(8, 3, 100)} END AS track_elapsed,
-    kind IS DISTINCT FROM 'timeout' AS track_complete
-  FROM kinds
+told AS (
+  SELECT event_id, ts, user_id, event_type,
+    CASE outcome WHEN 'refused' THEN 'FAILED' WHEN 'stuck' THEN 'TIMEOUT' ELSE 'COMPLETE' END AS audit_status,
+    CASE outcome WHEN 'refused' THEN code WHEN 'stuck' THEN '499' ELSE '200' END AS audit_code,
+    CASE WHEN outcome IS NULL THEN {_draw(5, 900)} + 20 WHEN outcome = 'refused' THEN {_draw(6, 1000)} + 400
+         WHEN outcome = 'slow' THEN slow ELSE stuck END AS audit_elapsed,
+    CASE WHEN outcome = 'refused' THEN code END AS track_code,
+    CASE WHEN outcome = 'stuck' THEN stuck WHEN outcome = 'slow' THEN slow ELSE {_draw(7, 60)} + 5 END
+      AS track_elapsed,
+    outcome IS DISTINCT FROM 'stuck' AS track_complete,
+    CASE WHEN event_id % 19 <> 0 OR (ts > TIMESTAMP '2024-01-26' AND event_id % 95 <> 0)
+      THEN 'svc_' || (user_id % 5) END AS service,
+    CASE WHEN event_id % 43 <> 0 THEN 'c' || (user_id % 3) END AS cluster,
+    CASE WHEN event_id % 41 <> 0 THEN 'inst_' || user_id END AS instance_name
+  FROM outcomes
 ),
 lines AS (
   SELECT *, make_timestamp(CAST(epoch_us(ts) // 100 * 100 AS BIGINT)) AS ts4,
          date_trunc('second', ts) AS ts0
-  FROM injected WHERE event_id % 97 <> 0
+  FROM told WHERE event_id % 97 <> 0
 )
 """
 
@@ -351,11 +352,10 @@ TRACING = """
 AUDIT = f"""
 audit AS (
   SELECT ts0 AS log_timestamp, CAST(ts AS DATE) AS log_date,
-    CASE WHEN event_id % 19 <> 0 THEN 'svc_' || (user_id % 5) END AS transaction_name,
+    service AS transaction_name,
     audit_status AS transaction_status, audit_code AS response_code,
     'host-' || (user_id % 50) AS host_name, '10.0.0.' || (user_id % 50) AS host_ip,
-    'c' || (user_id % 3) AS cluster, 'inst_' || user_id AS instance_name,
-    'conv-' || event_id AS conversation_id, 'txn-' || event_id AS unique_transaction_id,
+    cluster, instance_name, 'conv-' || event_id AS conversation_id, 'txn-' || event_id AS unique_transaction_id,
     event_type AS application_id, 'portal' AS origination_system_name,
     CASE WHEN event_id % 11 <> 0 THEN audit_elapsed END AS elapsed_time_ms,
     CASE WHEN event_id % 13 <> 0 THEN ts4 END AS initiated_timestamp,
@@ -391,9 +391,8 @@ marks AS (
 track AS (
   SELECT ts, ts0, event_id, event_type, track_code,
     'conv-' || event_id AS conversation_id,
-    CASE WHEN event_id % 19 <> 0 THEN 'svc_' || (user_id % 5) END AS service,
-    event_type AS custom_tag, 'c' || (user_id % 3) AS cluster, 'v' || (event_id % 2) AS vtier,
-    'txn-' || event_id AS transaction_id, 'inst_' || user_id AS instance_name,
+    service, event_type AS custom_tag, cluster, 'v' || (event_id % 2) AS vtier,
+    'txn-' || event_id AS transaction_id, instance_name,
     '10.0.0.' || (user_id % 50) AS host_ip, 'host-' || (user_id % 50) AS host_name,
     event_type AS client_id, 'app-' || (user_id % 7) AS application,
     event_id % 5000 AS req_msg_size, event_id % 1000 AS resp_msg_size,
@@ -423,7 +422,7 @@ track_ctx AS (
          * EXCLUDE (ts, ts0, event_id, event_type, track_code),
          coalesce(TRY_CAST(response_code AS INTEGER) BETWEEN 400 AND 599, FALSE) AS is_failure,
          CASE WHEN track_code IS NOT NULL THEN '1' END AS external_fault_code,
-         CASE WHEN track_code IS NOT NULL THEN 'processRequest.Error' END
+         CASE WHEN track_code IS NOT NULL THEN 'BackendRefused' END
            AS external_fault_description,
          CASE WHEN track_code IS NOT NULL THEN 'backend' END AS fault_entity
   FROM coded
@@ -431,12 +430,38 @@ track_ctx AS (
 """
 
 
+# The six feeds, each from a sixth of the events, as their normalised lines.
+LINE_FEEDS = """
+feeds AS (
+  SELECT f.key AS log_type, f.key || '_logs' AS source_table, TRUE AS is_audit, log_timestamp,
+         transaction_name AS svc, instance_name AS inst, cluster, is_failure,
+         response_time_ms AS ms, FALSE AS has_incomplete
+  FROM audit JOIN (VALUES ('bpm_audit', 0), ('m2e_audit', 1)) f(key, n)
+    ON CAST(substr(conversation_id, 6) AS BIGINT) % 6 = f.n
+  UNION ALL
+  SELECT f.key, f.key || '_logs', FALSE, log_timestamp, service, instance_name, cluster, NULL,
+         total_elapsed_ms, has_incomplete_trails
+  FROM track_mdc JOIN (VALUES ('bpm_adapter', 2), ('bpm_perf', 3)) f(key, n)
+    ON CAST(substr(conversation_id, 6) AS BIGINT) % 6 = f.n
+  UNION ALL
+  SELECT f.key, f.key || '_logs', FALSE, log_timestamp, service, instance_name, cluster, NULL,
+         total_elapsed_ms, has_incomplete_trails
+  FROM track_ctx JOIN (VALUES ('m2e_perf', 4), ('maf_perf', 5)) f(key, n)
+    ON CAST(substr(conversation_id, 6) AS BIGINT) % 6 = f.n
+)
+"""
+
+
+def _over_lines(body: str) -> str:
+    return _with(OUTCOMES, AUDIT, TRACK, LINE_FEEDS, ONE_RUN, DETECTORS, ALL_ANOMALIES, body=body)
+
+
 def _over_audit(body: str) -> str:
-    return _with(INJECTED, AUDIT, body=body)
+    return _with(OUTCOMES, AUDIT, body=body)
 
 
 def _over_track(body: str) -> str:
-    return _with(INJECTED, TRACK, body=body)
+    return _with(OUTCOMES, TRACK, body=body)
 
 
 # --- profiles ----------------------------------------------------------------------
@@ -534,11 +559,12 @@ AUDIT_PROFILE_QUERY = _with(
 LAST_WEEK = "window_start BETWEEN TIMESTAMP '2024-01-22' AND TIMESTAMP '2024-01-29'"
 PERIOD = "window_start AS time_window, granularity, slice_key, slice_value"
 
-PER_DATE = """
-SELECT CAST(log_timestamp AS DATE) AS log_date, count(*) AS rows,
-       CAST(sum(ms) AS BIGINT) AS total_ms, min(log_timestamp) AS first_log
-FROM log_events {where} GROUP BY ALL
+LOG_TABLE = """
+SELECT log_id, log_timestamp, svc AS transaction_name, inst AS instance_name, cluster, is_failure,
+       event_type = 'error' AS is_error, ms AS response_time_ms, CAST(log_timestamp AS DATE) AS log_date
+FROM log_events {where}
 """
+KEPT = "WHERE log_timestamp >= TIMESTAMP '2024-04-15 06:00:00' - INTERVAL 90 DAY"
 
 DRIFT_METRICS = (
     "hourly_failure_rate",
@@ -613,11 +639,6 @@ ORACLE: dict[str, str] = {
         response_time_calculated_ms, response_time_ms FROM audit"""
     ),
     "corrupt_rows": "SELECT 'not json ' || event_id AS line FROM events WHERE event_id % 97 = 0",
-    "injection": _with(
-        INJECTED,
-        body="""SELECT event_id, kind, audit_status, audit_code, audit_elapsed, track_code,
-        track_elapsed, track_complete FROM injected""",
-    ),
     "alert_recent": _over_run(f"SELECT {RECORD} FROM anomalies"),
     "alert_by_severity": _over_run(
         "SELECT severity, count(*) AS count FROM anomalies GROUP BY severity"
@@ -661,13 +682,16 @@ ORACLE: dict[str, str] = {
         FROM messages GROUP BY ALL"""
     ),
     "alert_payload": _over_messages(
-        """SELECT '2024-01-29T00:00:00' AS timestamp,
+        """SELECT 'header' AS part, '2024-01-29T00:00:00' AS timestamp,
         'Log Anomaly Detection: ' || critical_count || ' CRITICAL, ' || high_count || ' HIGH alerts' AS summary,
-        critical_count, high_count, severity, type, service, details
+        critical_count, high_count, CAST(NULL AS VARCHAR) AS severity, CAST(NULL AS VARCHAR) AS type,
+        CAST(NULL AS VARCHAR) AS service, CAST(NULL AS VARCHAR) AS details
         FROM (SELECT count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_count,
                      count(*) FILTER (WHERE severity = 'HIGH') AS high_count FROM messages)
-        LEFT JOIN (SELECT severity, type, service, details FROM messages WHERE severity = 'CRITICAL') ON TRUE
-        WHERE critical_count > 0 OR high_count > 0"""
+        WHERE critical_count > 0 OR high_count > 0
+        UNION ALL
+        SELECT 'alert', NULL, NULL, NULL, NULL, severity, type, service, details
+        FROM messages WHERE severity = 'CRITICAL'"""
     ),
     "dash_over_time": _over_table(
         """SELECT date_trunc('hour', detected_at) AS hour, anomaly_type, severity, count(*) AS count
@@ -701,7 +725,7 @@ ORACLE: dict[str, str] = {
         ORDER BY anomaly_count DESC, affected_service NULLS FIRST LIMIT 10"""
     ),
     "acknowledge": _over_table(
-        """SELECT anomaly_id, severity = 'CRITICAL' AS acknowledged,
+        f"""SELECT {RECORD}, details, severity = 'CRITICAL' AS acknowledged,
         CASE WHEN severity = 'CRITICAL' THEN TIMESTAMP '2024-01-29' END AS acknowledged_at,
         CAST(NULL AS VARCHAR) AS acknowledged_by FROM anomalies"""
     ),
@@ -779,11 +803,30 @@ ORACLE: dict[str, str] = {
     "stream_ingest_audit": _over_audit("SELECT * FROM audit"),
     "stream_ingest_track": _over_track("SELECT * FROM track_mdc"),
     "stream_ingest_track_ctx": _over_track("SELECT * FROM track_ctx"),
-    "retention": _with(
+    "retention": _with(LOG_EVENTS, body=LOG_TABLE.format(where=KEPT)),
+    "compaction": _with(LOG_EVENTS, body=LOG_TABLE.format(where="")),
+    "schema_evolution": _with(
+        LOG_EVENTS,
+        body=f"""SELECT *, CASE WHEN log_timestamp >= TIMESTAMP '2024-01-20' THEN log_id % 7 END AS added
+        FROM ({LOG_TABLE.format(where=KEPT)})""",
+    ),
+    "ingest_retain_compact": _over_audit(
+        """SELECT * FROM audit
+        WHERE log_timestamp >= TIMESTAMP '2024-04-15 06:00:00' - INTERVAL 90 DAY"""
+    ),
+    "detect_from_lines": _over_lines(f"SELECT {RECORD}, details FROM anomalies"),
+    "profile_family": _with(
         LOG_EVENTS,
-        body=PER_DATE.format(
-            where="WHERE log_timestamp >= TIMESTAMP '2024-04-15 06:00:00' - INTERVAL 90 DAY"
-        ),
+        AUDIT_TABLE.replace("FROM log_events", "FROM log_events, (VALUES (0), (1)) copies(c) WHERE c = 0 OR log_id % 3 = 0"),
+        AUDIT_PROFILE,
+        body=AUDIT_PROFILE_QUERY[AUDIT_PROFILE_QUERY.rindex("SELECT window_start") :],
+    ),
+    "dash_month": _over_table(
+        """SELECT affected_service, count(*) AS anomaly_count FROM anomalies
+        WHERE detected_at >= TIMESTAMP '2024-01-29' - INTERVAL 30 DAY GROUP BY affected_service"""
+    ),
+    "latest_undated": _over_track(
+        """SELECT conversation_id, log_timestamp FROM track_mdc WHERE req_msg_size % 50 = 7
+        ORDER BY log_timestamp DESC NULLS LAST, conversation_id LIMIT 5000"""
     ),
-    "compaction": _with(LOG_EVENTS, body=PER_DATE.format(where="")),
 }

@@ -14,16 +14,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilog.config import AUDIT, TRACK_CTX, TRACK_MDC, DetectorConfig, WindowConfig
+from vigilog.config import AUDIT, FEEDS, TRACK_CTX, TRACK_MDC, DetectorConfig, WindowConfig
 from vigilog.operators import alerts, detectors
 from vigilog.operators.normalize import normalize
+from vigilog.functions.times import utc_date
 from vigilog.operators.profiles import drift
 from vigilog.plans import dashboards, detection, maintenance, monitoring
 from vigilog.session import fresh_path, pin_utc
-from vigilog.sources import event_views, raw_views
+from vigilog.registry import event_views, raw_views
 from vigilog.sources.json_feeds import parse_lines, split_corrupt, write_lines
-from vigilog.sources.tables import DETECTED_DATE, LOG_DATE, append_anomalies, read_anomalies, scan
-from vigilog.streaming.ingest import start_ingest
+from vigilog.sources.tables import (
+    DETECTED_DATE,
+    LOG_DATE,
+    RUN,
+    append_anomalies,
+    read_anomalies,
+    scan,
+)
+from vigilog.streaming.ingest import MAX_FILES, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,20 +233,6 @@ def corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad
 
 
-def injection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = raw_views.with_injection(_events(spark, sf_dir))
-    return events.select(
-        "event_id",
-        "kind",
-        "audit_status",
-        "audit_code",
-        "audit_elapsed",
-        "track_code",
-        "track_elapsed",
-        "track_complete",
-    )
-
-
 # --- alerts ------------------------------------------------------------------------
 
 
@@ -253,27 +247,46 @@ def _dashboard(text: str) -> Query:
 
 
 def _payload_alerts(anomalies: DataFrame) -> DataFrame:
-    """The JSON bodies taken apart again."""
+    """The JSON lines taken apart again."""
     schema = (
         "timestamp string, summary string, critical_count bigint, high_count bigint, "
-        "alerts array<struct<severity string, type string, service string, details string>>"
+        "severity string, type string, service string, details string"
     )
-    bodies = alerts.notification_payloads(alerts.alert_messages(anomalies), AS_OF)
-    body = bodies.select(F.from_json("payload", schema).alias("body")).select("body.*")
-    return body.withColumn("alert", F.explode_outer("alerts")).select(
-        "timestamp", "summary", "critical_count", "high_count", "alert.*"
+    lines = alerts.notification_payloads(alerts.alert_messages(anomalies), AS_OF)
+    return lines.select("part", F.from_json("payload", schema).alias("body")).select(
+        "part", "body.*"
     )
 
 
 def acknowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In place, on a copy of the anomalies table; all rows and columns are compared."""
+    path = fresh_path(spark, "acknowledged")
     anomalies = _anomalies(spark, sf_dir)
+    anomalies.write.partitionBy(DETECTED_DATE, RUN).parquet(path)
     critical = anomalies.filter(F.col("severity") == "CRITICAL").select("anomaly_id")
-    marked = maintenance.acknowledged(anomalies, critical, AS_OF)
+    maintenance.acknowledge(spark, path, critical, AS_OF)
+    marked = read_anomalies(spark, path)
     return comparable(
-        marked.select("anomaly_id", "acknowledged", "acknowledged_at", "acknowledged_by")
+        marked.select(*RECORD, "details", "acknowledged", "acknowledged_at", "acknowledged_by")
     )
 
 
+def dash_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text of one's own reaches as far back as it says."""
+    text = """SELECT affected_service, count(*) AS anomaly_count FROM {anomalies}
+    WHERE detected_at >= :as_of - INTERVAL 30 DAYS GROUP BY affected_service"""
+    return dashboards.dashboard(text, AS_OF, anomalies=_anomalies(spark, sf_dir))
+
+
+def latest_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows than the table has, of which some have no time."""
+    path = fresh_path(spark, "track-table")
+    logs = _normalized(spark, sf_dir, TRACK_MDC).filter("req_msg_size % 50 = 7")
+    logs.select("conversation_id", "log_timestamp", LOG_DATE).write.partitionBy(LOG_DATE).parquet(path)
+    found = alerts.latest(scan(spark, path), "log_timestamp", 5000, "conversation_id", LOG_DATE)
+    return comparable(found.select("conversation_id", "log_timestamp"))
+
+
 def latest_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = event_views.audit_logs(_events(spark, sf_dir))
     return comparable(alerts.latest(logs, "log_timestamp", 100, "log_id"))
@@ -371,50 +384,98 @@ def profile_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming and upkeep ----------------------------------------------------------
 
 
+def _start(spark: SparkSession, feed: str, source: str, table: str, checkpoint: str) -> None:
+    start_ingest(spark, feed, source, table, checkpoint, trigger=None).awaitTermination()
+
+
 def _ingested(feed: str, family: str, *columns: str) -> Query:
-    """Lines in files → stream → log table; everything available is taken."""
+    """Lines in many files → stream → log table, in several batches and with a restart."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        source = fresh_path(spark, f"{feed}-files")
-        table = fresh_path(spark, f"{feed}-table")
-        write_lines(raw_views.feed_lines(_events(spark, sf_dir), family), source)
-        start_ingest(
-            spark, feed, source, table, fresh_path(spark, f"{feed}-checkpoint"), trigger=None
-        ).awaitTermination()
-        rows = scan(spark, table)
-        good, _ = split_corrupt(rows, family)
-        return comparable(good.select(*columns))
+        return comparable(_ingest_twice(spark, sf_dir, feed, family)[1].select(*columns))
 
     return query
 
 
+def _ingest_twice(
+    spark: SparkSession, sf_dir: str, feed: str, family: str
+) -> tuple[str, DataFrame]:
+    source, table = fresh_path(spark, f"{feed}-files"), fresh_path(spark, f"{feed}-table")
+    checkpoint = fresh_path(spark, f"{feed}-checkpoint")
+    lines = raw_views.feed_lines(_events(spark, sf_dir), family)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in range(2):
+        write_lines(lines.filter(half == part).repartition(MAX_FILES + 2), source)
+        _start(spark, feed, source, table, checkpoint)
+    good, _ = split_corrupt(scan(spark, table), family)
+    return table, good
+
+
+def ingest_retain_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ingested table after in-place compaction, retention, and a run with nothing new."""
+    table, _ = _ingest_twice(spark, sf_dir, "bpm_audit", AUDIT)
+    maintenance.compact_table(spark, table, table)
+    maintenance.apply_retention(spark, table, RETENTION_AS_OF)
+    maintenance.compact_table(spark, table, table)
+    good, _ = split_corrupt(scan(spark, table), AUDIT)
+    return comparable(good.filter(F.col("log_timestamp").isNotNull()).select(*AUDIT_COLUMNS))
+
+
+#: Feed → the remainder of the event id that it gets.
+SIXTHS = {"bpm_audit": 0, "m2e_audit": 1, "bpm_adapter": 2, "bpm_perf": 3, "m2e_perf": 4, "maf_perf": 5}
+
+
+def detect_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all six feeds → normalised logs → all six detectors."""
+    logs = {}
+    for feed, sixth in SIXTHS.items():
+        family = FEEDS[feed].family
+        lines = raw_views.feed_lines(_events(spark, sf_dir).filter(F.col("event_id") % 6 == sixth), family)
+        good, _ = split_corrupt(parse_lines(lines, family, F.col("value")), family)
+        logs[feed] = normalize(good, family)
+    found = detection.run_detection(logs, CONFIG, AS_OF)
+    return comparable(found.select(*RECORD, "details"))
+
+
+def profile_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit monitor over both audit feeds as one table."""
+    logs = event_views.audit_logs(_events(spark, sf_dir))
+    feeds = {"bpm_audit": logs, "m2e_audit": logs.filter("log_id % 3 = 0")}
+    return monitoring.run_monitor(monitoring.family_logs(feeds, AUDIT), monitoring.AUDIT_MONITOR)
+
+
 def _log_table(spark: SparkSession, sf_dir: str) -> str:
     path = fresh_path(spark, "log-table")
-    logs = event_views.audit_logs(_events(spark, sf_dir))
-    logs.withColumn(LOG_DATE, F.to_date("log_timestamp")).write.partitionBy(LOG_DATE).parquet(path)
+    _dated(event_views.audit_logs(_events(spark, sf_dir))).write.partitionBy(LOG_DATE).parquet(path)
     return path
 
 
-def _per_date(table: DataFrame) -> DataFrame:
-    return comparable(
-        table.groupBy(LOG_DATE).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum("response_time_ms").alias("total_ms"),
-            F.min("log_timestamp").alias("first_log"),
-        )
-    )
+def _dated(logs: DataFrame) -> DataFrame:
+    return logs.withColumn(LOG_DATE, utc_date(logs, "log_timestamp"))
 
 
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _log_table(spark, sf_dir)
     maintenance.apply_retention(spark, path, RETENTION_AS_OF)
-    return _per_date(scan(spark, path))
+    return comparable(scan(spark, path))
 
 
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, target = _log_table(spark, sf_dir), fresh_path(spark, "compacted")
-    maintenance.compact_table(spark, source, target)
-    return _per_date(scan(spark, target))
+    path = _log_table(spark, sf_dir)
+    maintenance.compact_table(spark, path, path)
+    return comparable(scan(spark, path))
+
+
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two generations of files, the later with one more column, after all upkeep."""
+    path = fresh_path(spark, "log-table")
+    logs = _dated(event_views.audit_logs(_events(spark, sf_dir)))
+    late = F.col("log_timestamp") >= F.lit("2024-01-20").cast("timestamp_ntz")
+    for part in (logs.filter(~late), logs.filter(late).withColumn("added", F.col("log_id") % 7)):
+        part.write.mode("append").partitionBy(LOG_DATE).parquet(path)
+    maintenance.compact_table(spark, path, path)
+    maintenance.apply_retention(spark, path, RETENTION_AS_OF)
+    return comparable(scan(spark, path))
 
 
 QUERIES: dict[str, Query] = {
@@ -477,7 +538,6 @@ QUERIES: dict[str, Query] = {
         "response_time_ms",
     ),
     "corrupt_rows": corrupt_rows,
-    "injection": injection,
     "alert_recent": _alert(lambda a: a.select(*RECORD)),
     "alert_by_severity": _alert(alerts.by_severity),
     "alert_by_type": _alert(alerts.by_type),
@@ -512,4 +572,10 @@ QUERIES: dict[str, Query] = {
     ),
     "retention": retention,
     "compaction": compaction,
+    "schema_evolution": schema_evolution,
+    "ingest_retain_compact": ingest_retain_compact,
+    "detect_from_lines": detect_from_lines,
+    "profile_family": _profiled(profile_family),
+    "dash_month": dash_month,
+    "latest_undated": latest_undated,
 }

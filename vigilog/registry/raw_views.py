@@ -1,7 +1,7 @@
-"""Raw JSON feeds derived from an ``events`` table, with deterministic injection.
+"""Raw JSON feeds derived from an ``events`` table, with deterministic outcomes.
 
-Every event becomes one JSON line of the wanted family. About one line in twenty gets an
-anomaly, chosen by arithmetic on the event id, and some fields are damaged on purpose:
+Fixtures of the registered queries. Every event becomes one JSON line of the wanted family. How
+it went is chosen by arithmetic on the event id, and some fields are damaged on purpose:
 numbers that are no numbers, times that are no times, lines that are no JSON.
 """
 
@@ -12,62 +12,55 @@ from pyspark.sql import functions as F
 
 from vigilog.config import AUDIT, TRACK_CTX, TRACK_MDC
 
-# Share of anomalous lines in ten thousandths, and their kinds.
-INJECTION_RATE = 500
-KINDS = ("high_response_time", "failure", "timeout", "missing_heartbeat")
-FAILURE_CODES = ("500", "503", "504")
-TIMEOUT_CODE = "408"
+# One line in seven is odd, in one of these ways.
+ODD = ("slow", "refused", "stuck")
 
 
 def draw(event_id: Column, salt: int, size: int) -> Column:
     """A repeatable number in [0, size) for an event."""
-    mixed = (event_id % F.lit(1_000_000_007)) * F.lit(48_271) + F.lit(salt)
-    return mixed % F.lit(2_147_483_647) % F.lit(size)
+    mixed = event_id % F.lit(999_983) * F.lit(104_729 * (2 * salt + 1)) + F.lit(15_485_863 * salt)
+    return mixed % F.lit(1_000_003) % F.lit(size)
 
 
-def between(event_id: Column, salt: int, low: int, high: int) -> Column:
-    return draw(event_id, salt, high - low + 1) + F.lit(low)
-
-
-def injected_kind(event_id: Column) -> Column:
-    """NULL for an ordinary line."""
-    kinds = F.array(*[F.lit(kind) for kind in KINDS])
-    index = draw(event_id, 2, len(KINDS)).cast("int")
-    return F.when(draw(event_id, 1, 10_000) < INJECTION_RATE, F.get(kinds, index))
-
-
-def with_injection(events: DataFrame) -> DataFrame:
-    """Adds what the injection decides for both kinds of feed."""
+def with_outcomes(events: DataFrame) -> DataFrame:
+    """Adds how each event went, as both kinds of feed tell it."""
     i = F.col("event_id")
-    codes = F.array(*[F.lit(code) for code in FAILURE_CODES])
-    code = F.get(codes, draw(i, 3, len(FAILURE_CODES)).cast("int"))
-    kind = F.col("kind")
-    slow = between(i, 4, 35_000, 90_000)
-    stuck = between(i, 5, 60_000, 120_000)
-    return events.withColumn("kind", injected_kind(i)).select(
+    odd = F.get(F.array(*[F.lit(x) for x in ODD]), draw(i, 1, len(ODD)).cast("int"))
+    outcome = F.col("outcome")
+    code = (draw(i, 2, 60) + 500).cast("string")
+    slow, stuck = draw(i, 3, 7000) + 31_000, draw(i, 4, 9000) + 45_000
+    return events.withColumn("outcome", F.when(draw(i, 0, 7) == 0, odd)).select(
         "*",
-        F.when(kind == "failure", "FAILED")
-        .when(kind == "timeout", "TIMEOUT")
+        F.when(outcome == "refused", "FAILED")
+        .when(outcome == "stuck", "TIMEOUT")
         .otherwise("COMPLETE")
         .alias("audit_status"),
-        F.when(kind == "failure", code)
-        .when(kind == "timeout", TIMEOUT_CODE)
-        .otherwise("0")
+        F.when(outcome == "refused", code)
+        .when(outcome == "stuck", "499")
+        .otherwise("200")
         .alias("audit_code"),
-        F.when(kind.isNull(), between(i, 6, 10, 3000))
-        .when(kind == "failure", between(i, 7, 5000, 15_000))
-        .when(kind == "high_response_time", slow)
-        .when(kind == "timeout", stuck)
+        F.when(outcome.isNull(), draw(i, 5, 900) + 20)
+        .when(outcome == "refused", draw(i, 6, 1000) + 400)
+        .when(outcome == "slow", slow)
+        .when(outcome == "stuck", stuck)
         .alias("audit_elapsed"),
-        F.when(kind == "failure", code).alias("track_code"),
-        F.when(kind == "timeout", stuck)
-        .when(kind == "high_response_time", slow)
-        .otherwise(between(i, 8, 3, 100))
+        F.when(outcome == "refused", code).alias("track_code"),
+        F.when(outcome == "stuck", stuck)
+        .when(outcome == "slow", slow)
+        .otherwise(draw(i, 7, 60) + 5)
         .alias("track_elapsed"),
-        F.coalesce(kind != "timeout", F.lit(True)).alias("track_complete"),
+        F.coalesce(outcome != "stuck", F.lit(True)).alias("track_complete"),
     )
 
 
+def _service() -> Column:
+    """Missing in one line of 19, but after the 26th only in one of 95."""
+    i = F.col("event_id")
+    late = F.col("ts") > F.lit("2024-01-26").cast("timestamp_ntz")
+    named = (i % 19 != 0) | (late & (i % 95 != 0))
+    return F.when(named, _labelled("svc_", F.col("user_id") % 5))
+
+
 def _stamp(moment: Column, pattern: str) -> Column:
     return F.date_format(moment, pattern)
 
@@ -106,10 +99,10 @@ def _tags() -> Column:
 
 
 def _place() -> dict[str, Column]:
-    user = F.col("user_id")
+    user, i = F.col("user_id"), F.col("event_id")
     return {
-        "Cluster": _labelled("c", user % 3),
-        "InstanceName": _labelled("inst_", user),
+        "Cluster": F.when(i % 43 != 0, _labelled("c", user % 3)),
+        "InstanceName": F.when(i % 41 != 0, _labelled("inst_", user)),
         "HostName": _labelled("host-", user % 50),
         "HostIPAddress": _labelled("10.0.0.", user % 50),
         "ConversationId": _labelled("conv-", F.col("event_id")),
@@ -133,7 +126,7 @@ def _audit_record() -> Column:
             "ApplicationId": F.col("event_type"),
             "UniqueTransactionId": _labelled("txn-", i),
             "OriginationSystemName": F.lit("portal"),
-            "TransactionName": F.when(i % 19 != 0, _labelled("svc_", F.col("user_id") % 5)),
+            "TransactionName": _service(),
             "TransactionStatus": F.col("audit_status"),
             "ResponseCode": F.col("audit_code"),
             "InitiatedTimestamp": F.when(i % 13 == 0, "not-a-time").otherwise(_zulu(F.col("ts"))),
@@ -174,7 +167,7 @@ def _track_message(extra: dict[str, Column]) -> Column:
     return _struct(
         {
             **_place(),
-            "Service": F.when(i % 19 != 0, _labelled("svc_", F.col("user_id") % 5)),
+            "Service": _service(),
             "CustomTag": F.col("event_type"),
             "TrailMarks": F.when(i % 4 == 0, F.when(i % 8 == 0, F.slice(marks, 1, 0))).otherwise(
                 marks
@@ -209,7 +202,7 @@ def _track_ctx_record() -> Column:
     fault = {
         "ResponseCode": F.coalesce(odd, F.col("track_code")),
         "ExternalFaultCode": F.when(failed, "1"),
-        "ExternalFaultDescription": F.when(failed, "processRequest.Error"),
+        "ExternalFaultDescription": F.when(failed, "BackendRefused"),
         "FaultEntity": F.when(failed, "backend"),
     }
     return _struct(
@@ -235,4 +228,4 @@ def feed_lines(events: DataFrame, family: str) -> DataFrame:
     line = F.when(broken, _labelled("not json ", F.col("event_id"))).otherwise(
         F.to_json(_RECORDS[family]())
     )
-    return with_injection(events).select(line.alias("value"))
+    return with_outcomes(events).select(line.alias("value"))

@@ -1,4 +1,9 @@
-"""Date-partitioned Parquet tables."""
+"""Date-partitioned Parquet tables.
+
+A table has one folder per date, and below it either files or one folder per batch of an
+ingestion (``log_batch``). Columns may be added from one write to the next: a scan merges the
+schemas of all files, and no rewrite may lose a column.
+"""
 
 from __future__ import annotations
 
@@ -6,24 +11,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigilog.functions.times import utc_date
 from vigilog.schemas import ACKNOWLEDGEMENT, ANOMALIES
+from vigilog.session import Files
 
 LOG_DATE = "log_date"
 DETECTED_DATE = "detected_date"
+#: Partition of a batch, and which batch of which stream a row came with.
+LOG_BATCH = "log_batch"
+INGEST_QUERY, INGEST_BATCH = "ingest_query", "ingest_batch"
+RUN = "detection_run"
+
+
+def batch_name(stream: str, number: int) -> str:
+    return f"{stream}-{number:012d}"
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Batch scan. A declared schema spares reading the footers of every file."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    """Batch scan with the columns of all files; a declared schema spares reading footers."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def replace_dates(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Overwrite only the partitions that occur in ``df``; others stay untouched.
 
     Dynamic partition overwrite stages its files first and swaps directories when the
-    job commits, so ``df`` may itself be read from ``path``.
+    job commits, so ``df`` may itself be read from ``path``. A frame without one of the
+    table's columns is refused.
     """
+    spark = df.sparkSession
+    if any("=" in name for name in Files(spark, path).folders(path)):
+        lost = [c for c in scan(spark, path).columns if c not in df.columns]
+        if lost:
+            raise ValueError(f"rewriting {path} would lose the columns {lost}")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -32,22 +54,32 @@ def replace_dates(df: DataFrame, path: str, partition_by: list[str]) -> None:
     )
 
 
-def anomaly_table_schema() -> T.StructType:
-    date = T.StructField(DETECTED_DATE, T.DateType())
-    return T.StructType(ANOMALIES.fields + ACKNOWLEDGEMENT.fields + [date])
-
-
 def append_anomalies(anomalies: DataFrame, path: str) -> None:
-    """Batch append, one directory per detection date."""
+    """Add a detection run, one folder per detection date and run.
+
+    A run is named by its instant, so the same run again replaces its own rows.
+    """
+    rows = anomalies.withColumns(
+        {
+            DETECTED_DATE: utc_date(anomalies, "detected_at"),
+            RUN: F.concat(F.lit("t"), F.unix_micros("detected_at").cast("string")),
+        }
+    )
     (
-        anomalies.withColumn(DETECTED_DATE, F.to_date("detected_at"))
-        .write.mode("append")
-        .partitionBy(DETECTED_DATE)
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DETECTED_DATE, RUN)
         .parquet(path)
     )
 
 
 def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
-    """Files from before the acknowledgement columns existed read as not acknowledged."""
-    table = scan(spark, path, anomaly_table_schema())
+    """All columns of all files; known ones that no file has yet are null.
+
+    Files from before the acknowledgement columns existed read as not acknowledged.
+    """
+    table = scan(spark, path)
+    for field in [*ANOMALIES.fields, *ACKNOWLEDGEMENT.fields]:
+        if field.name not in table.columns:
+            table = table.withColumn(field.name, F.lit(None).cast(field.dataType))
     return table.withColumn("acknowledged", F.coalesce("acknowledged", F.lit(False)))

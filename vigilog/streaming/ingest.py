@@ -10,7 +10,7 @@ from vigilog.config import FEEDS
 from vigilog.operators.normalize import normalize
 from vigilog.schemas import CORRUPT
 from vigilog.sources.json_feeds import is_corrupt_line, stream_feed
-from vigilog.sources.tables import LOG_DATE
+from vigilog.sources.tables import INGEST_BATCH, INGEST_QUERY, LOG_BATCH, LOG_DATE, batch_name
 
 # Trigger interval and rate limit.
 TRIGGER = "10 seconds"
@@ -28,28 +28,49 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append a feed to its log table.
 
-    A map-only job per micro-batch. The checkpoint of the feed and the file sink's own
-    log make it exactly-once across restarts. ``trigger=None`` takes everything that is
-    there, in batches of ``max_files``, and stops.
+    A map-only job per micro-batch. Each batch writes a folder of its own below each date,
+    named by the stream's id (kept in its checkpoint) and the batch's number, so a batch that
+    is repeated after a failure replaces itself. The table keeps no log of its files: it can be
+    compacted, trimmed and read like any other. ``trigger=None`` takes everything that is there,
+    in batches of ``max_files``, and stops.
 
     Lines that are not JSON keep their text in the corrupt column. They have no time, so
     they land in the partition without a date, which no time range ever reads; see
     ``quarantined``.
     """
     rows = normalize(stream_feed(spark, FEEDS[feed].family, source, max_files), FEEDS[feed].family)
+
+    def save(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        save_batch(batch, table, stream, number)
+
     writer = (
         rows.writeStream.queryName(f"ingest_{feed}")
-        .format("parquet")
-        .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .option("path", table)
-        .partitionBy(LOG_DATE)
+        .foreachBatch(save)
     )
     if trigger is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=trigger).start()
 
 
+def save_batch(batch: DataFrame, table: str, stream: str, number: int) -> None:
+    """Write one batch; the same batch again replaces its rows."""
+    tagged = batch.withColumns(
+        {
+            INGEST_QUERY: F.lit(stream),
+            INGEST_BATCH: F.lit(number).cast("bigint"),
+            LOG_BATCH: F.lit(batch_name(stream, number)),
+        }
+    )
+    (
+        tagged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(LOG_DATE, LOG_BATCH)
+        .parquet(table)
+    )
+
+
 def quarantined(table: DataFrame, family: str) -> DataFrame:
     """Lines of a log table that could not be read."""
     return table.filter(F.col(LOG_DATE).isNull() & is_corrupt_line(family)).select(
