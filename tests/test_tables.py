@@ -125,7 +125,7 @@ def test_no_rewrite_loses_a_column(spark, tmp_path):
         assert {r.added for r in scan(spark, str(path)).collect()} == {None, "x"}
         maintenance.compact_table(spark, str(path), str(path))
     maintenance.apply_retention(spark, str(path), NOW + timedelta(days=89, hours=12))
-    assert [(r.added, r.response_time_ms) for r in scan(spark, str(path)).collect()] == []
+    assert [(r.added, r.response_time_ms) for r in scan(spark, str(path)).collect()] == [("x", 2)]
     logs_by_date(spark, str(path), (NOW, "s", False, 1))
     extra.withColumn(LOG_DATE, F.to_date("log_timestamp")).write.mode("append").partitionBy(LOG_DATE).parquet(str(path))
     with pytest.raises(ValueError, match="added"):
@@ -161,7 +161,7 @@ def test_retention_goes_by_utc_days(spark, tmp_path, zone):
 def test_the_same_run_again_replaces_its_rows(spark, tmp_path):
     path = str(tmp_path / "anomalies")
     for _ in range(2):
-        append_anomalies(anomaly(spark, {}, {}), path)
+        append_anomalies(anomaly(spark, {}, {}), path, "one")
     append_anomalies(anomaly(spark, {"detected_at": utc(ago(hours=-1))}), path)
     assert read_anomalies(spark, path).count() == 3
 

@@ -75,17 +75,17 @@ def detect_and_save(
 ) -> DataFrame:
     """Save a run in the anomalies table; returns its summary.
 
-    The same run again replaces its rows, also if it finds fewer. The summary reads what was
+    A run is named by its instant and its feeds. The same run again replaces its rows, also if it finds fewer. The summary reads what was
     saved, and the run's intermediate copies are deleted.
     """
     spark = next(iter(logs.values())).sparkSession
-    micros = round(utc(as_of).timestamp() * 1_000_000)
-    folder = f"{table}/{DETECTED_DATE}={utc(as_of).date()}/{RUN}=t{micros}"
+    run = "-".join([utc(as_of).strftime("at%Y%m%dT%H%M%S.%f"), *sorted(logs)])
+    folder = f"{table}/{DETECTED_DATE}={utc(as_of).date()}/{RUN}={run}"
     files = Files(spark, table)
     with scratch(spark):
         found = materialize(run_detection(logs, config, as_of), "anomalies")
         files.delete(folder)
-        append_anomalies(found, table)
+        append_anomalies(found, table, run)
     if not files.exists(folder):
         return by_type(spark.createDataFrame([], ANOMALIES))
     return by_type(spark.read.schema(ANOMALIES).parquet(folder))

@@ -7,6 +7,8 @@ schemas of all files, and no rewrite may lose a column.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,15 +56,15 @@ def replace_dates(df: DataFrame, path: str, partition_by: list[str]) -> None:
     )
 
 
-def append_anomalies(anomalies: DataFrame, path: str) -> None:
-    """Add a detection run, one folder per detection date and run.
+def append_anomalies(anomalies: DataFrame, path: str, run: str | None = None) -> None:
+    """Add the rows of a detection run, one folder per detection date and run.
 
-    A run is named by its instant, so the same run again replaces its own rows.
+    A run that is named replaces its own earlier rows; one without a name only adds.
     """
     rows = anomalies.withColumns(
         {
             DETECTED_DATE: utc_date(anomalies, "detected_at"),
-            RUN: F.concat(F.lit("t"), F.unix_micros("detected_at").cast("string")),
+            RUN: F.lit(run or f"run-{uuid.uuid4().hex}"),
         }
     )
     (
