@@ -136,11 +136,16 @@ def _write_marks(spark: SparkSession, path: str, marks: dict[str, int]) -> None:
 def create_profile_table(df: DataFrame, monitor: Monitor, path: str) -> None:
     """The first, complete refresh. Of an ingested table it notes the batches it has seen."""
     marks = newest_batches(df) if INGEST_BATCH in df.columns else None
-    replace_dates(_with_date(run_monitor(df, monitor)), path, [WINDOW_DATE])
+    store_profile(run_monitor(df, monitor), path)
     if marks:
         _write_marks(df.sparkSession, path, marks)
 
 
+def store_profile(rows: DataFrame, path: str) -> None:
+    """Replace the days of a profile table that occur in ``rows``."""
+    replace_dates(_with_date(rows), path, [WINDOW_DATE])
+
+
 def refresh_profile_table(
     df: DataFrame, monitor: Monitor, path: str, since: datetime | None = None
 ) -> None:
@@ -169,7 +174,7 @@ def refresh_profile_table(
     touched = df.filter(new).select(day.alias("touched")).distinct()
     own_date = F.col(LOG_DATE) if LOG_DATE in df.columns else day
     stale = df.join(broadcast_few(touched), own_date == F.col("touched"), "left_semi")
-    replace_dates(_with_date(run_monitor(stale, monitor)), path, [WINDOW_DATE])
+    store_profile(run_monitor(stale, monitor), path)
     if marks:
         _write_marks(df.sparkSession, path, marks)
 

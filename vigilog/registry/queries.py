@@ -332,18 +332,35 @@ def _profile_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.run_monitor(_anomalies(spark, sf_dir), monitoring.ANOMALY_MONITOR)
 
 
+_profile_tables: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(build: Query) -> Query:
+    """The profile as the monitor's refresh stores it: written once per session, then pruned."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        if key not in _profile_tables:
+            path = fresh_path(spark, "profile-table")
+            monitoring.store_profile(build(spark, sf_dir), path)
+            _profile_tables[key] = path
+        return monitoring.read_profile_table(spark, _profile_tables[key])
+
+    return query
+
+
 def _profiled(build: Query) -> Query:
     return lambda spark, sf_dir: _flat(build(spark, sf_dir))
 
 
 def _profile_dashboard(text: str, build: Query) -> Query:
     return lambda spark, sf_dir: comparable(
-        dashboards.dashboard(text, AS_OF, profile=build(spark, sf_dir))
+        dashboards.dashboard(text, AS_OF, profile=_stored(build)(spark, sf_dir))
     )
 
 
 def drift_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = drift(_profile_audit(spark, sf_dir), list(monitoring.AUDIT_MONITOR.metrics))
+    changes = drift(_stored(_profile_audit)(spark, sf_dir), list(monitoring.AUDIT_MONITOR.metrics))
     return comparable(
         changes.select(
             "granularity",
