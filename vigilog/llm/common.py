@@ -13,7 +13,7 @@ WHITE = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Texts that a task works on at once; bounds its temporary arrays, not its results.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
