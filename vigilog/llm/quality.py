@@ -30,8 +30,8 @@ from vigilog.llm.perfect_hash import mix
 BUCKETS = 1 << 17
 DIMENSIONS = 8
 NGRAMS = (3, 4)
-TRAIN_ROWS = 6000
-TRAIN_ENTRIES = 12_000_000
+TRAIN_ROWS = 3000
+TRAIN_ENTRIES = 6_000_000
 EPOCHS = 6
 RATE = 2.0
 #: Features without meaning that each document has besides its own: a text of a few words stays
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     for r in single.toArrow().to_batches():
         for label, b, p in zip(r.column("label"), r.column("buckets"), r.column("parts"), strict=True):
             if entries + len(b) <= TRAIN_ENTRIES:
-                samples.append((label.as_py(), b.values.to_numpy(), p.values.to_numpy().astype(float)))
+                samples.append((label.as_py(), b.values.to_numpy(), p.values.to_numpy()))
                 entries += len(b)
     return train(samples)
 
