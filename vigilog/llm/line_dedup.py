@@ -195,7 +195,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Data
     however often the document has it, and all of its lines go. Empty tables give empty tables.
     Columns named n_lines or n_dropped are replaced.
     """
-    drop = frequent_lines(docs, min_docs, min_chars).select(
+    # A table of its own lets the join below split a text that very many documents share.
+    drop = materialize(frequent_lines(docs, min_docs, min_chars), "line-hits").select(
         F.col("text").alias("__text"), F.col("lines").alias("__drop")
     )
     joined = docs.withColumn("__text", hash128(text_of())).join(drop, "__text", "left")
