@@ -285,8 +285,10 @@ def group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     tasks = candidate_tasks(members.select("node", "n", "component")).join(members.select("node", "row"), "node")
     texts = docs.select("doc_id", text_of().alias("text")).withColumn("copy", hash128(F.col("text")))
     rows = tasks.select("task", "pair", "chunk", "node.*", F.col("row.doc_id").alias("id"), F.col("row.copy").alias("copy"))
-    fetched = texts.join(rows, "copy").filter("doc_id <=> id")
-    forest = verify(fetched.select("task", "pair", "chunk", "a", "b", "text"), words, percent)
+    # Both keys, so that copies of one text are spread by their ids.
+    own = (texts["copy"] == rows["copy"]) & texts["doc_id"].eqNullSafe(rows["id"])
+    fetched = texts.join(rows, own).select("task", "pair", "chunk", "a", "b", "text")
+    forest = verify(fetched, words, percent)
     roots = components(forest, "links")
     rooted = sets.select("node", "least").join(roots, "node", "left").select(
         "node", "least", F.coalesce("component", "node").alias("root")
