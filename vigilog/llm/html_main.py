@@ -31,8 +31,8 @@ from vigilog.llm.common import hash128, text_of
 from vigilog.llm.html_lines import MAIN, OPEN, common, page_lines
 from vigilog.llm.url_filter import host_of, path_of
 
-BLOCK_ROWS = 400
-LEAST_BLOCKS = 64
+BLOCK_ROWS = 64
+LEAST_BLOCKS = 256
 MOST_BLOCKS = 100_000
 
 
@@ -86,7 +86,7 @@ def by_url(pages: DataFrame, keys: list[str]) -> DataFrame:
     return (
         bounded.withColumn("copy", F.explode(copies))
         .select("copy.*", "place", F.col("place.host").alias("host"), *keys, "html")
-        .repartition(max(1, blocks // 8), "block")
+        .repartition(max(1, blocks // 16), "block")
         .sortWithinPartitions("block", "place")
         .select("block", "own", "host", *keys, "html")
     )
