@@ -207,7 +207,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     return (
         placed.withColumn("copy", F.explode(copies))
         .select("copy.*", "id", "doc_id", "text", hash128(F.col("text")).alias("tie"))
-        .repartition("block")
+        .repartition(max(1, blocks // 4), "block")
         .sortWithinPartitions("block", "turn", "id", F.desc("own"), "tie")
         .select("block", "own", "doc_id", "text")
     )
