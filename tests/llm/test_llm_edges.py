@@ -201,3 +201,27 @@ def test_tokens_are_those_of_the_tokenizers_library():
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for text in ("", " ", "a  b\n\n c\t", "It's we'll THEY'RE 12,000½", "日本語 émoji 🎉🎉  \r\n", "don't'd ''s", " x y", LONG[:1000]):
         assert own.encode_ordinary(text) == other.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_are_split_off_like_in_the_tokenizers_library(spark):
+    import json
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path) as file:
+        assert {t["content"]: t["id"] for t in json.load(file)["added_tokens"]} == packing.ADDED_TOKENS
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"  {end}\n\n {end}  ", f"x{end}'s 12{end}34", f"<|{end}|>", "<|endoftext|", LONG[:20_000] + end + LONG[:3000]]
+    other = Tokenizer.from_file(path)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = packing.pack(rows, with_ids=True).toPandas()
+    assert found.ids.map(lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())).equals(found.ids_crc32)
+    for n, text in enumerate(texts):
+        pieces = found[found.doc_id == n].sort_values("piece")
+        ids = [int(i) for part in pieces.ids for i in part]
+        assert ids == [*other.encode(text, add_special_tokens=False).ids, packing.END_ID]
+        assert list(pieces.start) == [0, *pieces.length.cumsum()[:-1]]

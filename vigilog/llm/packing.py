@@ -23,8 +23,9 @@ spread over all shards, and no sequence is ever gathered.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ from vigilog.session import materialize
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Fixed value: the added tokens of this vocabulary's tokenizer (byte_bpe_50k.json). They are
+#: matched in texts before anything else, as the tokenizers library does.
+ADDED_TOKENS = {"<|endoftext|>": 50256}
 #: Fixed value: the published pattern that splits text before the merges of this vocabulary, with
 #: possessive repeats; it cuts every text like the pattern without them.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -45,7 +49,7 @@ LEAST_SHARDS = 16
 
 
 def load_tokenizer(name: str = VOCABULARY):
-    """The public vocabulary ``name`` on this machine, special strings being ordinary text."""
+    """The public vocabulary ``name`` on this machine with its added tokens."""
     import base64
 
     import public_tokenizers
@@ -53,7 +57,12 @@ def load_tokenizer(name: str = VOCABULARY):
 
     with open(public_tokenizers.path(name), "rb") as lines:
         ranks = {base64.b64decode(t): int(n) for t, n in map(bytes.split, lines)}
-    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=ADDED_TOKENS)
+
+
+def encoder(name: str = VOCABULARY) -> Callable[[str], list[int]]:
+    """From a text to its ids; texts are split at added tokens, which have ids of their own."""
+    return partial(load_tokenizer(name).encode, allowed_special="all")
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -71,7 +80,7 @@ def tokenize(
     """doc_id, piece, start, length, ids_crc32 (and ids) of every piece of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load_tokenizer(vocabulary).encode_ordinary
+        encode = encoder(vocabulary)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for s, e in slices([x or "" for x in texts]):
