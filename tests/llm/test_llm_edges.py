@@ -141,6 +141,27 @@ def test_links_are_read_from_pages(spark):
     assert sorted(found) == [("http://a.com/d/x", "http://a.com/y"), ("http://b.com/q", "http://b.com/z?p=1"), ("http://c.com", "http://d.com/w")]
 
 
+def test_links_are_decoded_resolved_by_scheme_and_read_from_markup_only(spark):
+    link = "<link rel=canonical href='{}'>".format
+    pages = [
+        ("http://a.com/1", link("http://b.com/p?a=1&amp;b=2")), ("http://a.com/2", link("http://b.com/p?a=1&#38;b=2&#x26;c")),
+        ("http://a.com/3", link("/go?u=http://x.org/")), ("http://a.com/4", link("HTTP://b.com/&amp;lt;&nosuch;&#xE9;&#0;&#55296;")),
+        ("http://a.com/5", "<meta http-equiv=refresh content='0; url=http&colon;//b.com/?x&amp;y'>"),
+        ("http://a.com/6", f"<!-- {link('/no')} --><SCRIPT>'{link('/no')}'</script >{link('/yes')}<!-- {link('/no')}"),
+        ("http://a.com/7", f"<!-->{link('/yes')}<script-x>{link('/too')}<style>{link('/no')}"),
+    ]
+    edges = link_edges(spark.createDataFrame(pages, "url string, html string"))
+    assert sorted((r.src[-1], r.dst) for r in edges.collect()) == [
+        ("1", "http://b.com/p?a=1&b=2"), ("2", "http://b.com/p?a=1&b=2&c"), ("3", "http://a.com/go?u=http://x.org/"),
+        ("4", "HTTP://b.com/&lt;&nosuch;é&#0;&#55296;"), ("5", "http://b.com/?x&y"), ("6", "http://a.com/yes"),
+        ("7", "http://a.com/too"), ("7", "http://a.com/yes"),
+    ]
+    urls = spark.createDataFrame([("http://a.com/1",), ("http://a.com/3",)], "url string")
+    rules = [Rule("block", "b.com", "/p"), Rule("block", "x.org", "/")]
+    found = {r.url[-1]: r.verdict for r in judge(urls, edges.filter("src rlike '[13]$'"), rules).collect()}
+    assert found == {"1": "block", "3": "allow"}
+
+
 def test_url_queries_run_no_python(spark):
     from helpers import plan_of
 

@@ -32,6 +32,23 @@ LINK_TAG = r"(?i)<(?:link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*|meta\b[^>]*\b
 TARGET = r"(?i)\b(?:href\s*=\s*[\"']?\s*|url\s*=\s*['\"]?\s*)([^\"'\s>]+)"
 
 
+#: Comments, and elements whose content is text and not markup: no link stands in them.
+NO_MARKUP = (
+    r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))"
+    r"|<(script|style|textarea|title|xmp|iframe|noembed|noframes)(?=[\s/>]).*?(?:</\1(?=[\s/>])|\z)"
+)
+ABSOLUTE = r"(?i)\A[a-z][a-z0-9+.\-]*://"
+
+#: A character reference, or text up to the next; numbers above 0x10FFFF have more digits.
+REFERENCES = r"&(?:#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[a-zA-Z]+);|&|[^&]+"
+#: Named references to ASCII characters that urls hold.
+NAMED = {
+    "amp": "&", "AMP": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "sol": "/", "colon": ":", "quest": "?",
+    "equals": "=", "num": "#", "commat": "@", "percnt": "%", "period": ".", "plus": "+", "lowbar": "_", "comma": ",",
+    "semi": ";", "excl": "!", "dollar": "$", "ast": "*", "lpar": "(", "rpar": ")", "lsqb": "[", "rsqb": "]",
+}
+
+
 @dataclass(frozen=True)
 class Rule:
     verdict: str
@@ -77,20 +94,41 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*fits, nothing)
 
 
+def decoded(text: Column) -> Column:
+    """``text`` with its numeric and ``NAMED`` character references decoded, once."""
+
+    def piece(part: Column) -> Column:
+        name = F.regexp_extract(part, r"\A&([a-zA-Z]+);\z", 1)
+        digits = F.regexp_extract(part, r"\A&#([0-9]+);\z", 1)
+        code = F.when(digits != "", F.conv(digits, 10, 16)).otherwise(
+            F.regexp_extract(part, r"\A&#[xX]0*([0-9a-fA-F]+);\z", 1)
+        )
+        number = F.conv(code, 16, 10).cast("int")
+        real = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        plain = F.when(real, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(part)
+        return F.coalesce(names[name], plain)
+
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    parts = F.regexp_extract_all(text, F.lit(REFERENCES), 0)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, piece), "")).otherwise(text)
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """(src, dst) urls from canonical links and refresh redirects in the pages' html.
 
-    A target without ``://`` is resolved against its page: ``//host/x``, ``/x`` or relative to
-    the page's folder. Pages with a null url or html give no edge.
+    Character references in a target are decoded. A target that starts with no scheme is resolved
+    against its page: ``//host/x``, ``/x`` or relative to the page's folder. Tags in comments,
+    scripts and the like are no links. Pages with a null url or html give no edge.
     """
+    markup = F.regexp_replace("html", NO_MARKUP, " ")
     found = pages.select(
-        "url", F.explode(F.regexp_extract_all("html", F.lit(LINK_TAG), 0)).alias("tag")
-    ).select("url", F.regexp_extract("tag", TARGET, 1).alias("target"))
+        "url", F.explode(F.regexp_extract_all(markup, F.lit(LINK_TAG), 0)).alias("tag")
+    ).select("url", decoded(F.regexp_extract("tag", TARGET, 1)).alias("target"))
     base = F.concat(F.regexp_extract("url", r"\A(.*?)://", 1), F.lit("://"))
     folder = F.regexp_replace(path_of(F.col("url")), r"[^/]*\z", "")
     target = F.col("target")
     absolute = (
-        F.when(target.contains("://"), target)
+        F.when(target.rlike(ABSOLUTE), target)
         .when(target.startswith("//"), F.concat(F.regexp_extract("url", r"\A(.*?)://", 1), F.lit(":"), target))
         .when(target.startswith("/"), F.concat(base, host_of(F.col("url")), target))
         .otherwise(F.concat(base, host_of(F.col("url")), F.when(folder == "", "/").otherwise(folder), target))
