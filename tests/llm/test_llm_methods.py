@@ -207,6 +207,21 @@ def test_scanner_finds_every_mention_and_no_other_version():
     assert Scanner().scan("") == [] and Scanner().scan("the of and " * 50) == []
 
 
+def test_scanner_tells_licences_of_a_family_apart():
+    from vigilog.llm.license_templates import TEMPLATES
+
+    scanner = Scanner()
+    for t in TEMPLATES:  # each text is its own licence, among other words too
+        found = scanner.scan(f"some words before it. {t.text} and more after")
+        assert t.license in [f.license for f in found] and {f.license for f in found} <= {t.license, "All-Rights-Reserved"}, t.license
+    names = {
+        "(c) 2020 X. All rights reserved.": ["All-Rights-Reserved"], "all human rights are reserved": [],
+        "Licensed under CC BY-NC-SA 4.0. Licensed under CC BY-NC 4.0.": ["CC-BY-NC-SA-4.0", "CC-BY-NC-4.0"],
+        "Licensed under CC BY-NC-ND 4.0": ["CC-BY-NC-ND-4.0"],
+    }
+    assert {text: [f.license for f in scanner.scan(text)] for text in names} == names
+
+
 def test_scanner_equals_aligning_every_passage():
     rnd = random.Random(4)
     scanner = Scanner(least=0.8)

@@ -90,6 +90,13 @@ def test_op4_finds_every_notice_in_the_texts(spark, docs):
     assert expected == sorted(zip(found.doc_id, found.license, found.start, found.end, strict=True))
 
 
+def test_op4_finds_every_reserved_right(spark, docs):
+    found = QUERIES["op4_license_scan"](spark, SF_DIR).toPandas()
+    own = found[found.license == "All-Rights-Reserved"]
+    expected = [(d, m.start(), m.end()) for d, t in zip(docs.doc_id, docs.text, strict=True) for m in re.finditer("All rights reserved", t)]
+    assert expected and expected == sorted(zip(own.doc_id, own.start, own.end, strict=True))
+
+
 def test_op5_pieces_are_the_tokenizers_ids_and_fit_without_gaps(spark, docs):
     import numpy as np
     import public_tokenizers

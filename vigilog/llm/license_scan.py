@@ -5,7 +5,8 @@ words (one and a half times the template and a few more) is aligned with a templ
 equal words at both ends are matched; then words that occur once in each are anchors, of which the
 longest increasing subsequence is kept; and the gaps between anchors are aligned in the same way,
 where further words are unique. Coverage is the share of the template's words that are matched.
-A passage is a find if coverage reaches ``least`` and all the template's needed words are matched.
+A passage is a find if coverage reaches ``least`` and all the template's needed words are matched;
+it ends before the first word that the template excludes.
 
 Passages are chosen without loss: alignment can't match a word more often than both sides have it,
 so only passages whose capped word counts reach ``least`` are aligned, best and earliest first.
@@ -96,7 +97,7 @@ class Scanner:
         self.templates = []
         for t in templates:
             words = words_of(t.text)
-            span = len(words) * 3 // 2 + 4
+            span = len(words) if t.exact else len(words) * 3 // 2 + 4
             self.templates.append((t, words, Counter(words), span))
         self.known = {w for _, words, _, _ in self.templates for w in words}
 
@@ -129,8 +130,10 @@ class Scanner:
         present = Counter(w for w in words if w in self.known)
         finds: list[tuple[int, int, float, Template]] = []
         for template, own, counts, span in self.templates:
+            if len(words) < self.least * len(own) or any(w not in present for w in template.needed):
+                continue
             most = sum(min(n, present[w]) for w, n in counts.items())
-            if most < self.least * len(own) or any(w not in present for w in template.needed):
+            if most < self.least * len(own):
                 continue
             taken: list[tuple[int, int]] = []
             for _, start in self.passages(words, counts, len(own), span):
@@ -141,6 +144,10 @@ class Scanner:
                     if stop == start or any(s <= start < e for s, e in taken):
                         continue
                     passage = words[start:stop]
+                # A word of another licence ends the passage.
+                passage = passage[: next((n for n, w in enumerate(passage) if w in template.excluded), None)]
+                if len(passage) < self.least * len(own):
+                    continue
                 pairs = patience(passage, own)
                 matched = {own[j] for _, j in pairs}
                 if len(pairs) >= self.least * len(own) and matched.issuperset(template.needed):
@@ -151,7 +158,7 @@ class Scanner:
             return []
         spans = [m.span() for m in _WORD.finditer(text)] if len(text) == len(text.lower()) else _spans(text)
         out: list[tuple[int, int, Find]] = []
-        for first, last, coverage, t in sorted(finds, key=lambda f: (f[0] - f[1], f[0], f[3].license)):
+        for first, last, coverage, t in sorted(finds, key=lambda f: (f[0] - f[1], f[0], -f[2], f[3].license)):
             if all(last <= s or e <= first for s, e, _ in out):
                 found = Find(t.license, t.kind, spans[first][0], spans[last - 1][1], coverage)
                 out.append((first, last, found))
