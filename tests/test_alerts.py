@@ -221,3 +221,13 @@ def test_latest_reads_only_the_newest_partitions(spark, tmp_path):
     assert "TakeOrderedAndProject" in plan and "Subquery" in plan
     scans = [p for p in plan.split("PartitionFilters: ")[1:] if "subquery" in p.split("\n")[0]]
     assert scans, "the newest date must prune partitions of the main scan"
+
+
+def test_latest_query_covers_the_whole_track_table(spark):
+    from conftest import SF_DIR
+
+    from vigilog.registry import queries
+
+    found = queries.QUERIES["latest_track"](spark, SF_DIR).toPandas()
+    logs = queries._normalized(spark, SF_DIR, queries.TRACK_MDC)
+    assert len(found) == logs.count() and found.log_timestamp.isna().any()

@@ -829,4 +829,11 @@ ORACLE: dict[str, str] = {
         """SELECT conversation_id, log_timestamp FROM track_mdc WHERE req_msg_size % 50 = 7
         ORDER BY log_timestamp DESC NULLS LAST, conversation_id LIMIT 5000"""
     ),
+    "latest_track": _over_track("SELECT conversation_id, log_timestamp FROM track_mdc"),
+    "profile_feeds": _with(
+        LOG_EVENTS,
+        AUDIT_TABLE.replace("FROM log_events", "FROM log_events, (VALUES (0), (1)) copies(c)"),
+        AUDIT_PROFILE,
+        body=AUDIT_PROFILE_QUERY[AUDIT_PROFILE_QUERY.rindex("SELECT window_start") :],
+    ),
 }

@@ -287,6 +287,16 @@ def latest_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(found.select("conversation_id", "log_timestamp"))
 
 
+def latest_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole track table, rows without a time too: as many rows as it has."""
+    path = fresh_path(spark, "track-table")
+    logs = _normalized(spark, sf_dir, TRACK_MDC)
+    logs.select("conversation_id", "log_timestamp", LOG_DATE).write.partitionBy(LOG_DATE).parquet(path)
+    table = scan(spark, path)
+    found = alerts.latest(table, "log_timestamp", table.count(), "conversation_id", LOG_DATE)
+    return comparable(found.select("conversation_id", "log_timestamp"))
+
+
 def latest_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = event_views.audit_logs(_events(spark, sf_dir))
     return comparable(alerts.latest(logs, "log_timestamp", 100, "log_id"))
@@ -461,6 +471,13 @@ def profile_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.run_monitor(monitoring.family_logs(feeds, AUDIT), monitoring.AUDIT_MONITOR)
 
 
+def profile_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit monitor over two whole audit feeds as one table."""
+    logs = event_views.audit_logs(_events(spark, sf_dir))
+    feeds = {"bpm_audit": logs, "m2e_audit": logs}
+    return monitoring.run_monitor(monitoring.family_logs(feeds, AUDIT), monitoring.AUDIT_MONITOR)
+
+
 def _log_table(spark: SparkSession, sf_dir: str) -> str:
     path = fresh_path(spark, "log-table")
     _dated(event_views.audit_logs(_events(spark, sf_dir))).write.partitionBy(LOG_DATE).parquet(path)
@@ -593,6 +610,8 @@ QUERIES: dict[str, Query] = {
     "ingest_retain_compact": ingest_retain_compact,
     "detect_from_lines": detect_from_lines,
     "profile_family": _profiled(profile_family),
+    "profile_feeds": _profiled(profile_feeds),
     "dash_month": dash_month,
     "latest_undated": latest_undated,
+    "latest_track": latest_track,
 }
