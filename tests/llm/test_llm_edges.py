@@ -115,6 +115,19 @@ def test_chat_orders_ties_and_closes_conversations(spark):
     assert chat.read_back(chat.examples(turns.limit(0))).count() == 0
 
 
+def test_chat_examples_hold_all_turns_before_them(spark):
+    rows = [(1, n, "assistant" if n % 3 else "user", f"t{n} <|im_end|>" * 30) for n in range(40)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    made = chat.examples(turns)
+    found = made.collect()
+    assert [r.target for r in found] == [*[n for n in range(40) if n % 3], None]
+    for r in found:
+        until = 40 if r.target is None else r.target + 1
+        assert chat.parse(r.text) == [(role, text) for _, _, role, text in rows[:until]] and r.chars == len(r.text)
+    (back,) = chat.read_back(made).collect()
+    assert back.formatted_chars == sum(len(r.text) for r in found) and back.n_turns == 40
+
+
 def test_url_decisions_pass_along_chains_and_allow_precedes(spark):
     rows = [
         ("http://a.net/x", "https://b.net/y"), ("http://b.net/y#f", "http://spam.net/bad/1"),

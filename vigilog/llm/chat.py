@@ -8,12 +8,9 @@ Template: ``<|im_start|>role\ntext<|im_end|>\n`` for each turn. Inside texts and
 control string, ``<|``, is written ``<\|``; where backslashes stand between the two characters
 already, one more is added. Reading back removes one, so every text survives.
 
-The text of an example repeats all examples before it, so its length grows with the square of a
-conversation's turns. Examples are therefore handed on by what they add: a row's ``added`` follows
-the ``added`` of the rows before it, ``context_chars`` says how much text that is, and the loss
-span counts from the start of the full text. ``full_texts`` writes them out. Conversations are
-formatted and read back as streams over sorted rows; a task holds one turn at a time, however long
-the conversation is.
+Every example is written in full, so what is written of a conversation grows with the square of
+its turns. Conversations are formatted and read back as streams over sorted rows; a task holds the
+text of one example and a few more that wait to be written, ``BATCH_CHARS`` at most.
 """
 
 from __future__ import annotations
@@ -23,8 +20,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # The control strings of the template.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -59,17 +55,20 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 EXAMPLE = (
-    "example int, target int, added string, context_chars bigint, "
+    "example int, target int, text string, context_chars bigint, "
     "loss_start bigint, loss_end bigint, chars bigint"
 )
+#: Texts that are written at once.
+BATCH_CHARS = 1 << 22
 
 
 def examples(turns: DataFrame) -> DataFrame:
     """Examples of ``turns`` (conv_id, turn, role, text; other columns are not read).
 
     Columns: conv_id, example (from 0), target (place of the reply among the turns, null in a
-    closing example), added, context_chars, loss_start, loss_end (null without loss), chars (of
-    the full text, in code points). The rows of a conversation stand together and in order.
+    closing example), text (all turns up to the target, in full), context_chars (of the text before
+    this example's own turns), loss_start, loss_end (places in text, null without loss), chars (of
+    the text, in code points). The rows of a conversation stand together and in order.
 
     Null texts and roles are empty. Turns go by turn (null first); rows with the same turn by role
     and text, and repeated rows stay. Rows without conv_id are one conversation. An empty
@@ -79,12 +78,11 @@ def examples(turns: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: object = run  # no conversation yet
-        added, example, place, before = [], 0, 0, 0
+        text, before, example, place, held = "", 0, 0, 0, 0
         kind = None
 
         def row(target, loss):
-            text = "".join(added)
-            chars = before + len(text)
+            chars = len(text)
             start = None if loss is None else chars - len(END) - 1 - loss
             end = None if loss is None else chars - len(END) - 1
             return (current, example, target, text, before, start, end, chars)
@@ -100,21 +98,24 @@ def examples(turns: DataFrame) -> DataFrame:
         for batch in batches:
             kind, rows = batch.schema.field("conv_id").type, []
             columns = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))
-            for conv, role, text in zip(*columns, strict=True):
+            for conv, role, said in zip(*columns, strict=True):
                 if conv != current:
-                    if added:
+                    if len(text) > before:
                         rows.append(row(None, None))
-                    current, added, example, place, before = conv, [], 0, 0, 0
-                body = escape(text or "")
-                added.append(f"{START}{escape_role(role or '')}\n{body}{END}\n")
+                    current, text, before, example, place = conv, "", 0, 0, 0
+                body = escape(said or "")
+                text += f"{START}{escape_role(role or '')}\n{body}{END}\n"
                 if role == ASSISTANT:
                     rows.append(row(place, len(body)))
-                    before = rows[-1][-1]
-                    added, example = [], example + 1
+                    before, example, held = len(text), example + 1, held + len(text)
+                    if held >= BATCH_CHARS:
+                        yield batch_of(rows)
+                        rows, held = [], 0
                 place += 1
             if rows:
                 yield batch_of(rows)
-        if added:
+                held = 0
+        if len(text) > before:
             yield batch_of([row(None, None)])
 
     return (
@@ -126,24 +127,25 @@ def examples(turns: DataFrame) -> DataFrame:
 
 
 def full_texts(made: DataFrame) -> DataFrame:
-    """``made`` with the whole text of each example instead of ``added``."""
-    so_far = Window.partitionBy("conv_id").orderBy("example")
-    text = F.concat_ws("", F.collect_list("added").over(so_far))
-    return made.withColumn("text", text).drop("added")
+    """``made`` as it is: ``examples`` writes every text in full."""
+    return made
 
 
 def read_back(made: DataFrame) -> DataFrame:
-    """Digests of conversations, from what ``examples`` wrote and nothing else.
+    """Digests of conversations, from the full texts of ``examples`` and the masks in them.
 
     Columns: conv_id, n_turns, turns_sha256 (role, newline, text, newline for each turn),
     loss_chars and loss_sha256 (all text under the loss masks in order), formatted_chars (of all
-    examples' full texts).
+    examples' full texts). Each text is read from where the
+    one before ends; that each text goes on from the
+    one before, and that its mask is the last turn's text, is checked and stops the run if not.
     """
     key = made.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: object = run
         n = loss = formatted = 0
+        last = ""
         turns, masked = hashlib.sha256(), hashlib.sha256()
         kind = None
 
@@ -157,25 +159,31 @@ def read_back(made: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names
             )
 
-        columns = ("conv_id", "added", "context_chars", "loss_start", "loss_end", "chars")
+        columns = ("conv_id", "text", "loss_start", "loss_end")
         for batch in batches:
             kind, rows = batch.schema.field("conv_id").type, []
-            for conv, added, before, start, end, chars in zip(
-                *(batch.column(c).to_pylist() for c in columns), strict=True
-            ):
+            # One text at a time: a batch of long ones is large enough as it is.
+            for conv, full, start, end in zip(*(batch.column(c) for c in columns), strict=True):
+                conv, full, start, end = conv.as_py(), full.as_py(), start.as_py(), end.as_py()
                 if conv != current:
                     if n:
                         rows.append(result())
-                    current, n, loss, formatted = conv, 0, 0, 0
+                    current, n, loss, formatted, last = conv, 0, 0, 0, ""
                     turns, masked = hashlib.sha256(), hashlib.sha256()
-                for role, text in parse(added):
+                if not full.startswith(last):
+                    raise ValueError(f"an example of conversation {conv} does not start with the one before")
+                own = parse(full[len(last) :])
+                for role, text in own:
                     n += 1
                     turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
                 if start is not None:
-                    text = unescape(added[start - before : end - before])
+                    text = unescape(full[start:end])
+                    if own[-1] != (ASSISTANT, text):
+                        raise ValueError(f"a mask of conversation {conv} is not its reply")
                     loss += len(text)
                     masked.update(text.encode("utf-8", "surrogatepass"))
-                formatted += chars
+                formatted += len(full)
+                last = full
             if rows:
                 yield batch_of(rows)
         if n:
