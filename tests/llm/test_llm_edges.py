@@ -227,6 +227,21 @@ def test_pages_alike_and_alone(spark):
     assert extract_main(pages.limit(0)).count() == 0
 
 
+def test_copies_across_blocks_are_differenced_with_the_pages_around(spark):
+    def page(words):
+        return f"<div>Menu</div><p>Only {words}</p><div>End</div>"
+
+    rows = [(n, f"http://a.com/{n:04}", page("one" if n < 500 else "copy" if n < 2500 else "last")) for n in range(3000)]
+    found = extract_main(spark.createDataFrame(rows, "page_id bigint, url string, html string")).toPandas()
+    assert len(found) == 3000 and set(found.text) == {"Only one", "Only copy", "Only last"}
+
+
+def test_an_article_of_comments_is_no_main_text():
+    from vigilog.llm.html_lines import OTHER, page_lines
+
+    assert page_lines("<article class='comment'><p>hi</article><article id=story>x</article>") == [("hi", OTHER), ("x", "main")]
+
+
 def test_tokens_are_those_of_the_tokenizers_library():
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -49,7 +49,7 @@ def _says_other(tag: str, rest: str) -> bool:
     """Whether an element holds something else than main text."""
     if tag in OTHER_TAGS:
         return True
-    if not rest or tag in ("html", "body") or tag in MAIN_TAGS:
+    if not rest or tag in ("html", "body"):
         return False
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), next((v for v in values if v), "").lower()

@@ -9,17 +9,21 @@ site's menus and adverts change from page to page. So markup decides first where
 lines inside ``article`` or ``main`` are main text, shared or not; lines of menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments are not, even if no neighbour has them; and
 where a page has an article, nothing outside it is main text. All other lines are decided by
-differencing. Neighbours with exactly the same lines are copies: they count as one page.
+differencing. Pages of a host with exactly the same lines are copies: they count as one page, which
+stands at the first one's place, and all get its text.
 
 Order without gathering a host: a hash picks pages as block starts (a number bounded by
 ``MOST_BLOCKS`` whatever the size of the corpus), so blocks cut through large hosts, and the first
-and last page of each block are lent to the block beside. Tasks stream over sorted blocks and hold
-two pages at a time (of copies, one page and the keys of all).
+and last page of each block are lent to the block beside. As copies are one page before blocks are
+formed, a page's neighbours are the same wherever blocks begin. Tasks stream over sorted blocks and
+hold two pages at a time. Pages whose markup decides every line are aligned only with others' open
+lines.
 """
 
 from __future__ import annotations
 
 import bisect
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import hash128, text_of
+from vigilog.llm.common import hash128, slices, text_of
 from vigilog.llm.html_lines import MAIN, OPEN, common, page_lines
 from vigilog.llm.url_filter import host_of, path_of
+from vigilog.session import materialize
 
 BLOCK_ROWS = 64
 LEAST_BLOCKS = 256
@@ -47,8 +52,11 @@ def main_text(lines: list[tuple[str, str]], shared: set[int]) -> str:
     return " ".join(kept)
 
 
-def by_url(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """(block, own, host, keys, html): sorted blocks of pages with the pages beside them."""
+def lines_of(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, place, alike, texts, kinds, text: the lines of each page, and a hash of them.
+
+    text is the main text where markup decides every line, else null.
+    """
     rows = pages.select(
         *keys, text_of("html").alias("html"),
         F.struct(
@@ -57,11 +65,44 @@ def by_url(pages: DataFrame, keys: list[str]) -> DataFrame:
             hash128(*[F.col(k) for k in keys])["b"].alias("b"),
         ).alias("place"),
     )
-    places = rows.select("place", F.xxhash64("place").alias("draw"))
-    total = places.count()
+    kept = [*keys, "place"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages_ = batch.column("html").to_pylist()
+            for s, e in slices(pages_, 1 << 22):
+                alike, texts, kinds, final = [], [], [], []
+                for page in pages_[s:e]:
+                    lines = page_lines(page)
+                    texts.append([t for t, _ in lines])
+                    kinds.append([k for _, k in lines])
+                    alike.append(hashlib.sha256(repr(lines).encode("utf-8", "surrogatepass")).hexdigest())
+                    final.append(None if is_open(lines) else main_text(lines, set()))
+                own = [batch.column(c).slice(s, e - s) for c in kept]
+                many = pa.list_(pa.string())
+                own += [pa.array(alike, pa.string()), pa.array(texts, many), pa.array(kinds, many), pa.array(final, pa.string())]
+                yield pa.RecordBatch.from_arrays(own, [*kept, "alike", "texts", "kinds", "text"])
+
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
+    added = ["alike string, texts array<string>, kinds array<string>, text string"]
+    return rows.mapInArrow(run, ", ".join(fields + added))
+
+
+def is_open(lines: list[tuple[str, str]]) -> bool:
+    """Whether differencing decides any of the lines."""
+    kinds = {kind for _, kind in lines}
+    return OPEN in kinds and MAIN not in kinds
+
+
+def by_url(parsed: DataFrame) -> DataFrame:
+    """(block, own, host, alike, texts, kinds): sorted blocks of unlike pages with those beside them."""
+    # A page at a time for each host and its lines; repeated rows share a place.
+    first = parsed.groupBy("place.host", "alike").agg(F.min("place").alias("place"))
+    first = materialize(first.select("place", "alike"), "unlike")
+    total = first.count()
     blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, total // BLOCK_ROWS))
     share = min(1.0, blocks / max(total, 1))
-    chosen = places.filter(F.col("draw") <= min(2**63 - 1, int(share * 2**64) - 2**63))
+    chosen = first.filter(F.xxhash64("place") <= min(2**63 - 1, int(share * 2**64) - 2**63))
     starts = sorted({tuple(r.place) for r in chosen.select("place").collect()})
 
     @F.pandas_udf("int")
@@ -69,8 +110,10 @@ def by_url(pages: DataFrame, keys: list[str]) -> DataFrame:
         found = zip(*(place[c] for c in ("host", "path", "url", "a", "b")), strict=True)
         return pd.Series([bisect.bisect_right(starts, x) for x in found], dtype="int32")
 
+    rows = parsed.select("place", "alike", "texts", "kinds").join(first, ["place", "alike"], "left_semi")
     placed = rows.withColumn("block", block_of("place"))
-    ends = placed.groupBy("block").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    ends = first.withColumn("block", block_of("place")).groupBy("block")
+    ends = ends.agg(F.min("place").alias("first"), F.max("place").alias("last"))
     # One row a block, so at most MOST_BLOCKS + 1 rows are broadcast.
     bounded = placed.join(F.broadcast(ends), "block")
     own = F.struct("block", F.lit(True).alias("own"))
@@ -85,10 +128,10 @@ def by_url(pages: DataFrame, keys: list[str]) -> DataFrame:
     )
     return (
         bounded.withColumn("copy", F.explode(copies))
-        .select("copy.*", "place", F.col("place.host").alias("host"), *keys, "html")
+        .select("copy.*", "place", "alike", "texts", "kinds")
         .repartition(max(1, blocks // 16), "block")
-        .sortWithinPartitions("block", "place")
-        .select("block", "own", "host", *keys, "html")
+        .sortWithinPartitions("block", "place", "alike")
+        .select("block", "own", F.col("place.host").alias("host"), "alike", "texts", "kinds")
     )
 
 
@@ -103,44 +146,41 @@ def extract_main(pages: DataFrame) -> DataFrame:
     keys = ["page_id", "url"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Pages alike that wait for the next page: [block, host, own rows' keys, lines, shared]
+        # The page that waits for the next: [block, host, own, alike, lines, shared]
         waiting = None
         done: list[tuple] = []
-        types = None
 
         def finish(page) -> None:
-            if page is not None and page[2]:
-                text = main_text(page[3], page[4])
-                done.extend((*key, text) for key in page[2])
+            if page is not None and page[2] and is_open(page[4]):
+                done.append((page[1], page[3], main_text(page[4], page[5])))
 
         def batch_of() -> pa.RecordBatch:
-            *own, text = (list(c) for c in zip(*done, strict=True)) if done else [[] for _ in range(3)]
-            columns = [pa.array(c, t) for c, t in zip(own, types, strict=True)]
-            columns += [pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())]
+            columns = list(zip(*done, strict=True)) if done else [[]] * 3
+            made = pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["host", "alike", "open_text"])
             done.clear()
-            return pa.RecordBatch.from_arrays(columns, [*keys, "text", "n_chars"])
+            return made
 
         for batch in batches:
-            types = [batch.schema.field(k).type for k in keys]
-            rows = zip(*(batch.column(c).to_pylist() for c in ("block", "host", "own", *keys, "html")), strict=True)
-            for block, host, own, page_id, url, html in rows:
-                lines, keys_ = page_lines(html), [(page_id, url)] if own else []
+            columns = (batch.column(c).to_pylist() for c in ("block", "host", "own", "alike", "texts", "kinds"))
+            for block, host, own, alike, texts, kinds in zip(*columns, strict=True):
+                lines, shared = list(zip(texts, kinds, strict=True)), set()
                 if waiting is not None and waiting[:2] == [block, host]:
-                    if waiting[3] == lines:
-                        waiting[2] += keys_
+                    if waiting[3] == alike:  # a repeated row
                         continue
-                    pairs = common([t for t, _ in waiting[3]], [t for t, _ in lines])
-                    waiting[4].update(i for i, _ in pairs)
-                    shared = {j for _, j in pairs}
-                else:
-                    shared = set()
+                    if is_open(lines) or is_open(waiting[4]):
+                        pairs = common([t for t, _ in waiting[4]], texts)
+                        waiting[5].update(i for i, _ in pairs)
+                        shared = {j for _, j in pairs}
                 finish(waiting)
-                waiting = [block, host, keys_, lines, shared]
+                waiting = [block, host, own, alike, lines, shared]
             yield batch_of()
         finish(waiting)
         if done:
             yield batch_of()
 
-    types = {f.name: f.dataType.simpleString() for f in pages.select(*keys).schema}
-    schema = f"page_id {types['page_id']}, url {types['url']}, text string, n_chars bigint"
-    return by_url(pages, keys).mapInArrow(run, schema)
+    parsed = materialize(lines_of(pages, keys), "lines")
+    differenced = by_url(parsed).mapInArrow(run, "host string, alike string, open_text string")
+    rest = parsed.filter("text is null").select(*keys, F.col("place.host").alias("host"), "alike")
+    rest = rest.join(differenced, ["host", "alike"]).select(*keys, F.col("open_text").alias("text"))
+    found = parsed.filter("text is not null").select(*keys, "text").unionByName(rest)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
