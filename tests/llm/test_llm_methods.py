@@ -145,6 +145,31 @@ def test_leaks_equal_full_alignment():
     assert seen[True] and seen[False]
 
 
+def test_leaks_do_not_depend_on_layout():
+    item = " ".join(f"word{n}x" for n in range(60))
+    lines = [item[k : k + 50] for k in range(0, len(item), 50)]
+    wrapped = "".join(x.replace(" ", "\n" + " " * 12 + "\t ", 1) for x in lines)
+    text = "before: " + wrapped + " after"
+    ((_, _, start, end, edits, covered),) = D.leaks_in([text], D.build_index([(1, item)]), 80, 0.0625)
+    assert (text[start:end], edits, covered) == (wrapped, 0, len(item))
+    ((*_, covered),) = D.leaks_in([item], D.build_index([(1, wrapped)]), 80, 0.0625)
+    assert covered == len(wrapped)
+
+
+def test_leaks_have_the_whole_budget_of_their_rate():
+    rnd = random.Random(3)
+    item = "".join(rnd.choices("abcdefghij klmnop", k=200))
+    edited = "".join("#" if n % 13 == 6 else c for n, c in enumerate(item))  # 15 edits
+    found = list(D.leaks_in([edited], D.build_index([(1, item)], 200, 0.1), 200, 0.1))
+    naive = naive_leaks(edited, item, 200, 0.1)
+    assert [f[4] for f in found] == [min(e for _, e in naive)] and found[0][4] > 7
+    assert D.budget(200, 0.1) == 20 and D.budget(17, 0.0625) == 1
+    short = "abcdefghijklmnopq"
+    assert [f[4] for f in D.leaks_in([short.replace("i", "#")], D.build_index([(1, short)]), 80, 0.0625)] == [1]
+    with pytest.raises(ValueError):
+        D.build_index([(1, item)], 200, 0.5)
+
+
 def test_window_hashes_depend_on_the_window_alone():
     codes = FP.codes_of("abcabcabcabcabc")
     found = FP.window_hashes(codes, 12)

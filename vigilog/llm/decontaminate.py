@@ -2,15 +2,18 @@
 
 An item leaks into a document if some window of ``window`` consecutive code points of the item (all
 of a shorter item) is within the edit budget of some passage of the document: at most ``rate``
-times its length insertions, deletions or substitutions. A-Z are lower-cased and white space
-characters are spaces on both sides; everything else counts as it is.
+times its length insertions, deletions or substitutions. A-Z are lower-cased and runs of white space
+are one space on both sides, so layout makes no difference; everything else counts as it is.
+Windows and edits count in the text so normalised, results in places of the text as it was.
 
 The q-gram lemma: a window of n code points within e edits of a passage shares at least
 n + 1 - q (e + 1) of its q-grams with it, on e + 1 neighbouring diagonals. So, for each document:
 
 1. All q-grams of the whole text are looked up in an index of the items' q-grams.
-2. Hits are counted by item in bands of diagonals, 2 x ``STEP`` wide and ``STEP`` apart. Any run of
-   e + 1 diagonals lies in one of these bands as long as e < ``STEP``.
+2. Hits are counted by item in bands of diagonals, two steps wide and a step apart. Any run of
+   e + 1 diagonals lies in one of these bands, as a step is more than e.
+   q and the step follow from the largest budgets (at most ``Q``, at least ``STEP``); a rate for which q
+   would be below ``LEAST_Q`` is refused.
 3. Bands in which some window of the item holds enough hits are kept; all others cannot leak.
 4. In those, the windows that hold enough hits are aligned within the band widened by e.
 
@@ -36,39 +39,62 @@ Q = 10
 WINDOW = 80
 RATE = 0.0625
 STEP = 8
+LEAST_Q = 4
 BLOCK_CHARS = 1_000_000
 
 _WHITE = np.array([ord(c) for c in WHITE], np.uint32)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def normal_codes(text: str) -> np.ndarray:
+def normal(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Normalised codes, and the place in ``text`` of each."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.where((codes >= 65) & (codes <= 90), codes + np.uint32(32), codes)
-    return np.where(np.isin(codes, _WHITE), np.uint32(32), codes)
+    white = np.isin(codes, _WHITE)
+    codes = np.where(white, np.uint32(32), codes)
+    kept = np.ones(len(codes), bool)
+    kept[1:] = ~(white[1:] & white[:-1])
+    return codes[kept], np.flatnonzero(kept)
+
+
+def normal_codes(text: str) -> np.ndarray:
+    return normal(text)[0]
 
 
-def gram_hashes(codes: np.ndarray) -> np.ndarray:
+def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
     """A polynomial hash of every q-gram: lengths are doubled, then go on one by one."""
     single = codes.astype(np.uint64)
     out, have = single, 1
-    while 2 * have <= Q:
+    while 2 * have <= q:
         out = out[:-have] * np.uint64(pow(int(_BASE), have, 1 << 64)) + out[have:]
         have *= 2
-    for k in range(have, Q):
+    for k in range(have, q):
         out = out[:-1] * _BASE + single[k:]
     return mix(out, 0)
 
 
 def budget(length: int, rate: float) -> int:
-    """Edits allowed in a window, never so many that the lemma would promise no shared q-gram."""
-    return max(0, min(int(length * rate), STEP - 1, (length + 1) // Q - 1))
+    """Edits allowed in a window."""
+    return int(length * rate)
+
+
+def plan(lengths: np.ndarray, rate: float) -> tuple[int, int]:
+    """q and step for windows of these lengths: the lemma promises each at least one shared q-gram."""
+    edits = np.array([budget(int(n), rate) for n in lengths], np.int64)
+    q = int(min([Q, *(lengths // (edits + 1))]))
+    if q < LEAST_Q:
+        raise ValueError(f"rate {rate} allows so many edits that no {LEAST_Q} code points in a row need stay")
+    return q, int(max([STEP, *(edits + 1)]))
 
 
 @dataclass
 class Index:
     ids: list
     codes: list[np.ndarray]
+    places: list[np.ndarray]  # of the codes in the item as it was
+    lengths: np.ndarray  # of the items as they were
+    q: int
+    step: int
     grams: np.ndarray  # sorted distinct hashes
     starts: np.ndarray  # of each hash in item and place
     item: np.ndarray
@@ -76,10 +102,12 @@ class Index:
     seen: np.ndarray  # by the low bits of a hash: whether an item may have it
 
 
-def build_index(items: list[tuple[object, str]]) -> Index:
+def build_index(items: list[tuple[object, str]], window: int = WINDOW, rate: float = RATE) -> Index:
     """``items`` of at least Q code points; shorter ones are found in any text and not searched."""
-    items = [(i, normal_codes(t)) for i, t in items if len(t) >= Q]
-    hashes = [gram_hashes(c) for _, c in items]
+    items = [(i, len(t), *normal(t)) for i, t in items]
+    items = [x for x in items if len(x[2]) >= Q]
+    q, step = plan(np.array([min(len(c), window) for _, _, c, _ in items], np.int64), rate)
+    hashes = [gram_hashes(c, q) for _, _, c, _ in items]
     every = np.concatenate([np.zeros(0, np.uint64), *hashes])
     item = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
     place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(h)) for h in hashes]])
@@ -88,7 +116,8 @@ def build_index(items: list[tuple[object, str]]) -> Index:
     bits = max(16, int(len(grams) * 16).bit_length())
     seen = np.zeros(1 << bits, bool)
     seen[(grams & np.uint64(len(seen) - 1)).astype(np.int64)] = True
-    return Index([i for i, _ in items], [c for _, c in items], grams, np.append(starts, len(every)), item[order], place[order], seen)
+    ids, lengths, codes, places = ([x[k] for x in items] for k in range(4))
+    return Index(ids, codes, places, np.array(lengths, np.int64), q, step, grams, np.append(starts, len(every)), item[order], place[order], seen)
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, wins: np.ndarray, n: int):
@@ -121,18 +150,19 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, wins: np.ndar
 
 def leaks_in(texts: list[str], index: Index, window: int, rate: float) -> Iterator[tuple]:
     """(text number, item number, start, end, edits, covered) of every leak in ``texts``."""
-    codes = [normal_codes(t) for t in texts]
+    codes, origins = ([x[k] for x in map(normal, texts)] for k in range(2)) if texts else ([], [])
+    q, width = index.q, index.step
     joined = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-    if len(joined) < Q or not len(index.grams):
+    if len(joined) < q or not len(index.grams):
         return
     ends = np.cumsum([len(c) for c in codes])
-    hashes = gram_hashes(joined)
+    hashes = gram_hashes(joined, q)
     at = np.flatnonzero(index.seen[(hashes & np.uint64(len(index.seen) - 1)).astype(np.int64)])
     gram = np.minimum(np.searchsorted(index.grams, hashes[at]), len(index.grams) - 1)
     real = index.grams[gram] == hashes[at]
     at, gram = at[real], gram[real]
     of = np.searchsorted(ends, at, "right")
-    whole = at + Q <= ends[of]
+    whole = at + q <= ends[of]
     at, gram, of = at[whole], gram[whole], of[whole]
     if not len(at):
         return
@@ -141,12 +171,12 @@ def leaks_in(texts: list[str], index: Index, window: int, rate: float) -> Iterat
     entry = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(index.starts[gram], count)
     item, place, of = index.item[entry], index.place[entry], of[run]
     diagonal = at[run] - (ends[of] - np.array([len(c) for c in codes])[of]) - place
-    band = diagonal // STEP
+    band = diagonal // width
 
     sizes = np.array([len(c) for c in index.codes])
     n_of = np.minimum(sizes, window)
     e_of = np.array([budget(int(n), rate) for n in n_of])
-    need = n_of + 1 - Q * (e_of + 1)
+    need = n_of + 1 - q * (e_of + 1)
     order = np.lexsort((place, band, item, of))
     of, item, place, band = of[order], item[order], place[order], band[order]
     new = np.concatenate([[True], (np.diff(of) != 0) | (np.diff(item) != 0) | (np.diff(band) != 0)])
@@ -162,14 +192,14 @@ def leaks_in(texts: list[str], index: Index, window: int, rate: float) -> Iterat
         t, i = int(of[start[g]]), int(item[start[g]])
         n, e = int(n_of[i]), int(e_of[i])
         places = np.unique(place[start[g] : end[g + 1] if after[g] else end[g]])
-        marks = np.zeros(int(sizes[i]) - Q + 2, np.int64)
+        marks = np.zeros(int(sizes[i]) - q + 2, np.int64)
         marks[places + 1] = 1
         marks = np.cumsum(marks)
-        wins = np.flatnonzero(marks[n - Q + 1 :] - marks[: len(marks) - (n - Q + 1)] >= need[i])
+        wins = np.flatnonzero(marks[n - q + 1 :] - marks[: len(marks) - (n - q + 1)] >= need[i])
         if not len(wins):
             continue
-        low = int(band[start[g]]) * STEP
-        edits, stop = align(index.codes[i], codes[t], low - e, low + 2 * STEP + e, wins, n)
+        low = int(band[start[g]]) * width
+        edits, stop = align(index.codes[i], codes[t], low - e, low + 2 * width + e, wins, n)
         good = edits <= e
         if good.any():
             found.setdefault((t, i), []).append((wins[good], edits[good], stop[good], n))
@@ -180,9 +210,11 @@ def leaks_in(texts: list[str], index: Index, window: int, rate: float) -> Iterat
         marks = np.zeros(int(sizes[i]) + 1, np.int64)
         np.add.at(marks, wins, 1)
         np.add.at(marks, wins + n, -1)
-        covered = int(np.count_nonzero(np.cumsum(marks)))
+        spans = np.diff(index.places[i], append=index.lengths[i])
+        covered = int(spans[np.cumsum(marks)[:-1] > 0].sum())
         edits = min(int(p[1].min()) for p in parts)
-        yield t, i, max(0, int(stop.min()) - n), int(stop.max()), edits, covered
+        first, last = max(0, int(stop.min()) - n), int(stop.max()) - 1
+        yield t, i, int(origins[t][first]), int(origins[t][last]) + 1, edits, covered
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate: float = RATE) -> DataFrame:
@@ -192,7 +224,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate
     edit budget), edits are those of the best window, covered counts the item's code points that
     lie in matched windows.
 
-    Null texts and items match nothing, nor do items below ``Q`` code points. Repeated rows on
+    Null texts and items match nothing, nor do items below ``Q`` normalised code points. Repeated rows on
     either side give repeated results; null ids pass through. Empty tables give an empty result.
     Other columns are not read.
     """
@@ -205,7 +237,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate
 
     def matcher(block: int):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = build_index([(r.item_id, r.text) for r in own.collect()])
+        index = build_index([(r.item_id, r.text) for r in own.collect()], window, rate)
         shared = spark.sparkContext.broadcast(tuple(vars(index).values()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
