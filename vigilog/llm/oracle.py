@@ -93,8 +93,96 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+# The cut of a candidate with the lowest score; products are computed in 128 bits.
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), placed AS (
+    SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS j
+    FROM words, (VALUES (1), (2), (3), (4)) AS sizes(k)
+), grams AS (
+    SELECT lang, k, array_to_string(w[j:j + k - 1], ' ') AS phrase, count(*) AS f FROM placed GROUP BY ALL
+), candidates AS (
+    SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM grams WHERE k >= 2 AND f >= 30
+), cuts AS (
+    SELECT *, unnest(generate_series(1, k - 1)) AS q FROM candidates
+), scores AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score, c.q
+    FROM cuts c
+    JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:q], ' ')
+    JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[q + 1:], ' ')
+), lowest AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, q) = 1
+), sizes AS (
+    SELECT lang, w, a, k, unnest(generate_series(2, k - 1)) AS size FROM candidates
+), places AS (
+    SELECT *, unnest(generate_series(1, k - size + 1)) AS j FROM sizes
+), inside AS (
+    SELECT lang, array_to_string(w[j:j + size - 1], ' ') AS phrase, max(a) AS longer FROM places GROUP BY ALL
+), ranked AS (
+    SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(s.phrase)) AS rank,
+        s.phrase, a, l, r, score
+    FROM lowest s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+    WHERE coalesce(100::HUGEINT * longer < 80::HUGEINT * a, true)
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+# CRC-32 bit by bit over the digits; a path is the list of its turns' digests.
+PREFIX_TRIE = r"""
+WITH turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(coalesce(role, '')), encode(coalesce(text, ''))) AS p
+    FROM conversations WHERE conv_id IS NOT NULL
+), steps AS (
+    SELECT c, list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''),
+        lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))) AS steps
+    FROM (SELECT DISTINCT c FROM turns)
+), convs AS (
+    SELECT c, c - c % 100 AS base, xor(list_reduce(steps, lambda s, x: CASE WHEN x >= 0 THEN xor(s, x)
+        WHEN s % 2 = 1 THEN xor(s >> 1, 3988292384::BIGINT) ELSE s >> 1 END), 4294967295::BIGINT) % 6 AS h
+    FROM steps
+), parts AS (
+    SELECT v.c, 0 AS own, t.p, t.role, t.text FROM convs v JOIN turns t ON t.c = v.base AND t.p <= v.h
+    UNION ALL
+    SELECT v.c, 1, t.p, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c AND t.p > v.h
+), rebuilt AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, p) AS d,
+        sha256(length(role) || ' ' || role || text) AS turn, length(text) AS chars
+    FROM parts
+), paths AS (
+    SELECT c, d, chars, sha256(array_to_string(list(turn) OVER (PARTITION BY c ORDER BY d), ' ')) AS node FROM rebuilt
+    UNION ALL SELECT c, 0, 0, '' FROM convs
+), members AS (
+    SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent, max(d) OVER (PARTITION BY c) AS total FROM paths
+), nodes AS (
+    SELECT node, any_value(d) AS d, any_value(parent) AS parent, any_value(chars) AS chars, min(c) AS conv_id,
+        count(*) AS n_convs, max(total) = any_value(d) AS leaf,
+        coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = total), '') AS ends
+    FROM members GROUP BY node
+), below AS (
+    SELECT m.node, count(*) FILTER (v.leaf) AS n_leaves, sum((v.n_convs - 1) * v.chars) AS saved
+    FROM nodes v JOIN members m ON m.c = v.conv_id AND m.d <= v.d GROUP BY m.node
+), children AS (
+    SELECT parent, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs,
+    coalesce(k.n_children, 0)::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves,
+    b.saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v JOIN below b USING (node)
+LEFT JOIN nodes p ON p.node = v.parent LEFT JOIN children k ON k.parent = v.node
+"""
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
     "op9_chat_format": CHAT_FORMAT,
     "op6_url_filter": URL_FILTER,
+    "op11_collocations": COLLOCATIONS,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

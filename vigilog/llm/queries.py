@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilog.llm.chat import examples, read_back
+from vigilog.llm.collocations import collocations
 from vigilog.llm.common import table
 from vigilog.llm.decontaminate import find_leaks
 from vigilog.llm.fingerprint import edited_fingerprints
@@ -16,7 +17,9 @@ from vigilog.llm.license_scan import scan_licenses
 from vigilog.llm.line_dedup import dedup_lines
 from vigilog.llm.near_dedup import near_duplicates
 from vigilog.llm.packing import pack
+from vigilog.llm.prefix_trie import prefix_trie
 from vigilog.llm.quality import fit, is_held_out, score
+from vigilog.llm.simhash import simhash_groups
 from vigilog.llm.url_filter import ALLOW, BLOCK, Rule, judge, link_edges
 
 URL_RULES = [
@@ -82,6 +85,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), most=4, least=30, top=2000)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), words=3)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_fingerprint": op2_fingerprint,
@@ -93,4 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_main": op8_html_main,
     "op9_chat_format": op9_chat_format,
     "op10_near_dedup": op10_near_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_simhash": op12_simhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
