@@ -53,9 +53,10 @@ def main_text(lines: list[tuple[str, str]], shared: set[int]) -> str:
 
 
 def lines_of(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, place, alike, texts, kinds, text: the lines of each page, and a hash of them.
+    """keys, place, alike, hashes, texts, kinds, text: the lines of each page, and a hash of them all.
 
-    text is the main text where markup decides every line, else null.
+    hashes has a 64-bit hash for each line, which is all that neighbours need. text is the main text
+    where markup decides every line; texts and kinds of lines are there only where it does not.
     """
     rows = pages.select(
         *keys, text_of("html").alias("html"),
@@ -71,23 +72,31 @@ def lines_of(pages: DataFrame, keys: list[str]) -> DataFrame:
         for batch in batches:
             pages_ = batch.column("html").to_pylist()
             for s, e in slices(pages_, 1 << 22):
-                alike, texts, kinds, final = [], [], [], []
+                alike, hashes, texts, kinds, final = [], [], [], [], []
                 for page in pages_[s:e]:
                     lines = page_lines(page)
-                    texts.append([t for t, _ in lines])
-                    kinds.append([k for _, k in lines])
+                    open_ = is_open(lines)
                     alike.append(hashlib.sha256(repr(lines).encode("utf-8", "surrogatepass")).hexdigest())
-                    final.append(None if is_open(lines) else main_text(lines, set()))
+                    hashes.append([line_hash(t) for t, _ in lines])
+                    texts.append([t for t, _ in lines] if open_ else None)
+                    kinds.append([k for _, k in lines] if open_ else None)
+                    final.append(None if open_ else main_text(lines, set()))
                 own = [batch.column(c).slice(s, e - s) for c in kept]
                 many = pa.list_(pa.string())
-                own += [pa.array(alike, pa.string()), pa.array(texts, many), pa.array(kinds, many), pa.array(final, pa.string())]
-                yield pa.RecordBatch.from_arrays(own, [*kept, "alike", "texts", "kinds", "text"])
+                own += [pa.array(alike, pa.string()), pa.array(hashes, pa.list_(pa.int64()))]
+                own += [pa.array(texts, many), pa.array(kinds, many), pa.array(final, pa.string())]
+                yield pa.RecordBatch.from_arrays(own, [*kept, "alike", "hashes", "texts", "kinds", "text"])
 
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
-    added = ["alike string, texts array<string>, kinds array<string>, text string"]
+    added = ["alike string, hashes array<bigint>, texts array<string>, kinds array<string>, text string"]
     return rows.mapInArrow(run, ", ".join(fields + added))
 
 
+def line_hash(text: str) -> int:
+    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
 def is_open(lines: list[tuple[str, str]]) -> bool:
     """Whether differencing decides any of the lines."""
     kinds = {kind for _, kind in lines}
@@ -95,7 +104,7 @@ def is_open(lines: list[tuple[str, str]]) -> bool:
 
 
 def by_url(parsed: DataFrame) -> DataFrame:
-    """(block, own, host, alike, texts, kinds): sorted blocks of unlike pages with those beside them."""
+    """(block, own, host, alike, hashes, texts, kinds): sorted blocks of unlike pages with those beside them."""
     # A page at a time for each host and its lines; repeated rows share a place.
     first = parsed.groupBy("place.host", "alike").agg(F.min("place").alias("place"))
     first = materialize(first.select("place", "alike"), "unlike")
@@ -110,7 +119,7 @@ def by_url(parsed: DataFrame) -> DataFrame:
         found = zip(*(place[c] for c in ("host", "path", "url", "a", "b")), strict=True)
         return pd.Series([bisect.bisect_right(starts, x) for x in found], dtype="int32")
 
-    rows = parsed.select("place", "alike", "texts", "kinds").join(first, ["place", "alike"], "left_semi")
+    rows = parsed.select("place", "alike", "hashes", "texts", "kinds").join(first, ["place", "alike"], "left_semi")
     placed = rows.withColumn("block", block_of("place"))
     ends = first.withColumn("block", block_of("place")).groupBy("block")
     ends = ends.agg(F.min("place").alias("first"), F.max("place").alias("last"))
@@ -128,10 +137,10 @@ def by_url(parsed: DataFrame) -> DataFrame:
     )
     return (
         bounded.withColumn("copy", F.explode(copies))
-        .select("copy.*", "place", "alike", "texts", "kinds")
+        .select("copy.*", "place", "alike", "hashes", "texts", "kinds")
         .repartition(max(1, blocks // 16), "block")
         .sortWithinPartitions("block", "place", "alike")
-        .select("block", "own", F.col("place.host").alias("host"), "alike", "texts", "kinds")
+        .select("block", "own", F.col("place.host").alias("host"), "alike", "hashes", "texts", "kinds")
     )
 
 
@@ -146,13 +155,13 @@ def extract_main(pages: DataFrame) -> DataFrame:
     keys = ["page_id", "url"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The page that waits for the next: [block, host, own, alike, lines, shared]
+        # The page that waits for the next: [block, host, own, alike, hashes, lines if open, shared]
         waiting = None
         done: list[tuple] = []
 
         def finish(page) -> None:
-            if page is not None and page[2] and is_open(page[4]):
-                done.append((page[1], page[3], main_text(page[4], page[5])))
+            if page is not None and page[2] and page[5] is not None:
+                done.append((page[1], page[3], main_text(page[5], page[6])))
 
         def batch_of() -> pa.RecordBatch:
             columns = list(zip(*done, strict=True)) if done else [[]] * 3
@@ -161,18 +170,19 @@ def extract_main(pages: DataFrame) -> DataFrame:
             return made
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("block", "host", "own", "alike", "texts", "kinds"))
-            for block, host, own, alike, texts, kinds in zip(*columns, strict=True):
-                lines, shared = list(zip(texts, kinds, strict=True)), set()
+            columns = (batch.column(c).to_pylist() for c in ("block", "host", "own", "alike", "hashes", "texts", "kinds"))
+            for block, host, own, alike, hashes, texts, kinds in zip(*columns, strict=True):
+                lines = None if texts is None else list(zip(texts, kinds, strict=True))
+                shared = set()
                 if waiting is not None and waiting[:2] == [block, host]:
                     if waiting[3] == alike:  # a repeated row
                         continue
-                    if is_open(lines) or is_open(waiting[4]):
-                        pairs = common([t for t, _ in waiting[4]], texts)
-                        waiting[5].update(i for i, _ in pairs)
+                    if lines is not None or waiting[5] is not None:
+                        pairs = common(waiting[4], hashes)
+                        waiting[6].update(i for i, _ in pairs)
                         shared = {j for _, j in pairs}
                 finish(waiting)
-                waiting = [block, host, own, alike, lines, shared]
+                waiting = [block, host, own, alike, hashes, lines, shared]
             yield batch_of()
         finish(waiting)
         if done:
