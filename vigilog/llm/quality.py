@@ -167,9 +167,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     samples, entries = [], 0
     for r in single.toArrow().to_batches():
         for label, b, p in zip(r.column("label"), r.column("buckets"), r.column("parts"), strict=True):
-            if entries + len(b) <= TRAIN_ENTRIES:
+            # The sample ends at the first document beyond the bound; none is chosen by its length.
+            entries += len(b)
+            if entries <= TRAIN_ENTRIES or not samples:
                 samples.append((label.as_py(), b.values.to_numpy(), p.values.to_numpy()))
-                entries += len(b)
     return train(samples)
 
 
