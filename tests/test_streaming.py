@@ -107,6 +107,7 @@ def test_an_ingested_table_can_be_compacted_trimmed_and_go_on(spark, tmp_path):
     from datetime import datetime
 
     from vigilog.plans import maintenance
+    from vigilog.sources.versions import vacuum
 
     path = str(tmp_path / "table")
     for i in range(6):
@@ -115,6 +116,8 @@ def test_an_ingested_table_can_be_compacted_trimmed_and_go_on(spark, tmp_path):
     before = sorted(r.timeMillis for r in scan(spark, path).collect())
     maintenance.compact_table(spark, path, path)
     assert sorted(r.timeMillis for r in scan(spark, path).collect()) == before and len(before) == 12
+    vacuum(spark, path, datetime(2200, 1, 1))
+    assert sorted(r.timeMillis for r in scan(spark, path).collect()) == before
     day = [f.name for f in (tmp_path / "table" / "log_date=2024-01-01").iterdir()]
     assert len(day) == 2 and sum("compacted" in d for d in day) == 1
     put(tmp_path, "new.json", {"level": "INFO", "timeMillis": 1704067200000})

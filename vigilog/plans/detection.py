@@ -6,15 +6,21 @@ from collections.abc import Callable, Mapping
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigilog.config import ALL_FAMILIES, AUDIT, FEEDS, TRACK, DetectorConfig, utc
+from vigilog.functions.times import instant
 from vigilog.operators import detectors as d
 from vigilog.operators.alerts import by_type
 from vigilog.operators.counters import counter_rollup, row_counters
 from vigilog.schemas import ANOMALIES
-from vigilog.session import Files, materialize, scratch
-from vigilog.sources.tables import DETECTED_DATE, RUN, append_anomalies
+from vigilog.session import materialize, scratch
+from vigilog.sources.tables import DETECTED_DATE, RUN, save_anomalies
+from vigilog.sources.versions import live_items, read_items
 
 Detector = Callable[[Mapping[str, DataFrame], DetectorConfig, datetime], DataFrame]
 
@@ -73,19 +79,78 @@ def run_detection(
 def detect_and_save(
     logs: Mapping[str, DataFrame], config: DetectorConfig, as_of: datetime, table: str
 ) -> DataFrame:
-    """Save a run in the anomalies table; returns its summary.
+    """Save a run in the anomalies table; returns the summary of its instant.
 
-    A run is named by its instant and its feeds. The same run again replaces its rows, also if it finds fewer. The summary reads what was
-    saved, and the run's intermediate copies are deleted.
+    A run is named by its instant and its feeds. The same run again replaces its rows, also if it
+    finds fewer; a run of other feeds adds only what the table does not have. The summary reads
+    what the table has, and the run's intermediate copies are deleted.
     """
     spark = next(iter(logs.values())).sparkSession
-    run = "-".join([utc(as_of).strftime("at%Y%m%dT%H%M%S.%f"), *sorted(logs)])
-    folder = f"{table}/{DETECTED_DATE}={utc(as_of).date()}/{RUN}={run}"
-    files = Files(spark, table)
     with scratch(spark):
         found = materialize(run_detection(logs, config, as_of), "anomalies")
-        files.delete(folder)
-        append_anomalies(found, table, run)
-    if not files.exists(folder):
+        save_anomalies(found, table, run_name(logs, as_of), as_of)
+    return saved_summary(spark, table, as_of)
+
+
+def run_name(logs: Mapping[str, DataFrame], as_of: datetime) -> str:
+    return "-".join([utc(as_of).strftime("at%Y%m%dT%H%M%S.%f"), *sorted(logs)])
+
+
+def saved_summary(spark: SparkSession, table: str, as_of: datetime) -> DataFrame:
+    """What the table has of one instant, by type and severity."""
+    day = [i for i in live_items(spark, table) if i.date == f"{DETECTED_DATE}={utc(as_of).date()}"]
+    schema = T.StructType([*ANOMALIES.fields, T.StructField(DETECTED_DATE, T.DateType()), T.StructField(RUN, T.StringType())])
+    saved = read_items(spark, table, day, schema)
+    if saved is None:
         return by_type(spark.createDataFrame([], ANOMALIES))
-    return by_type(spark.read.schema(ANOMALIES).parquet(folder))
+    return by_type(saved.filter(F.col("detected_at") == instant(as_of)))
+
+
+STATUS = "detector string, feed string, status string, message string, row_count bigint"
+#: Characters of a message that a status keeps.
+MESSAGE_CHARS = 500
+
+
+def run_isolated(
+    logs: Mapping[str, DataFrame], config: DetectorConfig, as_of: datetime
+) -> tuple[DataFrame, DataFrame]:
+    """(anomalies, status): each detector is a job of its own for each feed it looks at.
+
+    A job that fails costs its own rows only; the others are there all the same. Status has a row
+    for each job: detector, feed, status (ok, failed), the first line of the message, and the rows
+    that were found (null where it failed). Detectors look at one feed at a time, so the rows of
+    all jobs together are those of ``run_detection``. An error while a feed's plan is built counts like
+    one of its job.
+    """
+    spark = next(iter(logs.values())).sparkSession
+    parts, status = [], []
+    for name, (detect, families) in DETECTORS.items():
+        for feed, rows in logs.items():
+            if FEEDS[feed].family not in families:
+                continue
+            counted = Observation()
+            try:
+                found = detect({feed: rows}, config, as_of)
+                found = found.observe(counted, F.count(F.lit(1)).alias("rows"))
+                parts.append(materialize(found, f"found-{name}-{feed}"))
+                status.append((name, feed, "ok", None, counted.get["rows"]))
+            except (Py4JError, PySparkException) as error:
+                message = (str(error).strip().splitlines() or [type(error).__name__])[0]
+                status.append((name, feed, "failed", message[:MESSAGE_CHARS], None))
+    anomalies = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], ANOMALIES)
+    return anomalies, spark.createDataFrame(status, STATUS)
+
+
+def detect_isolated_and_save(
+    logs: Mapping[str, DataFrame], config: DetectorConfig, as_of: datetime, table: str
+) -> DataFrame:
+    """Like ``detect_and_save``, but what fails keeps nothing else from being saved; returns the
+    status of all jobs.
+
+    A repeated run replaces its rows, and what failed this time is not kept from the time before.
+    """
+    spark = next(iter(logs.values())).sparkSession
+    with scratch(spark):
+        found, status = run_isolated(logs, config, as_of)
+        save_anomalies(found, table, run_name(logs, as_of), as_of)
+    return status

@@ -1,6 +1,7 @@
 """Upkeep of the tables: acknowledging, retention and compaction.
 
-All of it rewrites whole partitions with all of their columns and leaves the others alone.
+Rewrites keep all columns, leave other partitions alone and take effect in one step (see
+``vigilog.sources.versions``); ``vacuum`` there deletes what they replaced.
 """
 
 from __future__ import annotations
@@ -13,21 +14,26 @@ from pyspark.sql import functions as F
 
 from vigilog.config import utc
 from vigilog.functions.times import instant, is_zoneless
-from vigilog.session import Files
 from vigilog.sources.tables import (
-    DETECTED_DATE,
     INGEST_BATCH,
     INGEST_QUERY,
     LOG_BATCH,
     LOG_DATE,
-    RUN,
-    batch_name,
-    read_anomalies,
+    log_acknowledgements,
     replace_dates,
-    scan,
+)
+from vigilog.sources.versions import (
+    MARK,
+    VERSION,
+    Item,
+    commit,
+    live_items,
+    read_items,
+    replace_items,
 )
 
-COMPACTED = "compacted"
+# What the folders of rewrites are called.
+COMPACTED, RETAINED = "compacted", "retained"
 #: Days or runs that may be broadcast to prune folders; beyond it the same join is shuffled.
 FEW_FOLDERS = 20_000
 
@@ -58,23 +64,22 @@ def acknowledged(anomalies: DataFrame, ids: DataFrame, as_of: datetime) -> DataF
 
 
 def acknowledge(
-    spark: SparkSession, table: str, ids: list[str] | DataFrame, as_of: datetime
+    spark: SparkSession,
+    table: str,
+    ids: list[str] | DataFrame,
+    as_of: datetime,
+    by: str | None = None,
 ) -> None:
-    """Acknowledge in place: only the runs that hold one of the ids are rewritten, all columns.
+    """Acknowledge anomalies by id: entries in the table's log, no row is read or rewritten.
 
-    ``ids`` is a list, or a DataFrame with a column ``anomaly_id`` where there are many.
+    ``ids`` is a list, or a DataFrame with a column ``anomaly_id`` where there are many. Ids
+    that the table does not have change nothing.
     """
     if isinstance(ids, DataFrame):
-        wanted = ids.select("anomaly_id")
+        log_acknowledgements(ids, table, as_of, by)
     elif ids:
         wanted = spark.createDataFrame([(i,) for i in ids], "anomaly_id string")
-    else:
-        return
-    anomalies = read_anomalies(spark, table)
-    folders = [c for c in (DETECTED_DATE, RUN) if c in anomalies.columns]
-    hit = anomalies.join(wanted, "anomaly_id", "left_semi").select(*folders).distinct()
-    affected = anomalies.join(broadcast_few(hit), folders, "left_semi")
-    replace_dates(acknowledged(affected, wanted, as_of), table, folders)
+        log_acknowledgements(wanted.coalesce(1), table, as_of, by)
 
 
 def broadcast_few(keys: DataFrame) -> DataFrame:
@@ -118,41 +123,52 @@ def compact_table(
 ) -> None:
     """Rewrite partitions of ``source`` with few large files into ``target``.
 
-    ``target`` may be the same path. Of a table that streams write, the newest batch of each
-    stream is left as it is, because only that one may still be repeated; the others of a date
-    become one. In place, the new folder is committed before the old ones go, so nothing is ever
-    missing; a reader that lists the table just in between sees a date's rows twice.
+    ``target`` may be the same path: then the new folders replace exactly the items that were
+    read, in one step. What streams add meanwhile stays, a failure leaves the table as it was, and
+    replaced items stay on disk until ``vacuum``. Of a table that streams write, the newest batch of
+    each stream is left as it is. Compacted runs of an anomalies table lose their names: a run that
+    is repeated later adds only ids that the table does not have.
     """
-    rows = scan(spark, source)
+    items = live_items(spark, source)
+    open_ = open_batches(items)
     if dates is not None:
-        rows = rows.filter(F.col(date_column).isin(*dates))
-    if LOG_BATCH not in rows.columns:
-        replace_dates(compacted(rows, time_column, date_column), target, [date_column])
+        wanted = {f"{date_column}={d}" for d in dates}
+        items = [i for i in items if i.date in wanted]
+    closed = [i for i in items if i.value not in open_]
+    name = f"{COMPACTED}{MARK}{uuid.uuid4().hex}"
+    column = second_column(items)
+    rows = read_items(spark, source, closed)
+    merged = None
+    if rows is not None:
+        merged = compacted(rows, time_column, date_column).withColumn(column, F.lit(name))
+    if source == target:
+        if merged is not None:
+            replace_items(merged, target, closed, name, [date_column, column])
         return
-    newest = newest_batches(scan(spark, source))
-    open_ = {batch_name(stream, number) for stream, number in newest.items()}
-    merged = compacted(rows.filter(~F.col(LOG_BATCH).isin(*open_)), time_column, date_column)
-    name = f"{COMPACTED}-{uuid.uuid4().hex}"
-    merged = merged.withColumn(LOG_BATCH, F.lit(name))
-    if source != target:
-        replace_dates(
-            merged.unionByName(rows.filter(F.col(LOG_BATCH).isin(*open_))),
-            target,
-            [date_column, LOG_BATCH],
-        )
-        return
-    files = Files(spark, source)
-    wanted = None if dates is None else {str(d) for d in dates}
-    old = []
-    for folder in files.folders(source):
-        column, _, value = folder.partition("=")
-        if column == date_column and (wanted is None or value in wanted):
-            for batch in files.folders(f"{source}/{folder}"):
-                if batch.partition("=")[2] not in open_:
-                    old.append(f"{source}/{folder}/{batch}")
-    merged.write.mode("append").partitionBy(date_column, LOG_BATCH).parquet(source)
-    for path in old:
-        files.delete(path)
+    rest = read_items(spark, source, [i for i in items if i.value in open_])
+    if merged is not None:
+        copied = merged.drop(VERSION) if column == VERSION else merged.withColumn(column, F.lit(COMPACTED))
+        folders = [date_column] if column == VERSION else [date_column, column]
+        whole = copied if rest is None else copied.unionByName(rest, allowMissingColumns=True)
+        replace_dates(whole, target, folders)
+    elif rest is not None:
+        replace_dates(rest, target, [date_column, column])
+
+
+def second_column(items: list[Item]) -> str:
+    """The partition column below the date, ``VERSION`` where a table has none of its own."""
+    found = {i.leaf.partition("=")[0] for i in items if i.is_folder} - {VERSION}
+    return found.pop() if found else VERSION
+
+
+def open_batches(items: list[Item]) -> set[str]:
+    """The newest batch of each stream, by the names of folders: only that may be repeated."""
+    newest: dict[str, str] = {}
+    for item in items:
+        stream, dash, _ = item.value.rpartition("-")
+        if item.leaf.startswith(f"{LOG_BATCH}=") and dash and MARK not in item.value:
+            newest[stream] = max(newest.get(stream, ""), item.value)
+    return set(newest.values())
 
 
 def newest_batches(table: DataFrame) -> dict[str, int]:
@@ -169,36 +185,26 @@ def apply_retention(
     time_column: str = "log_timestamp",
     date_column: str = LOG_DATE,
 ) -> list[str]:
-    """Delete old rows in place; returns the dates that were dropped whole.
+    """Delete old rows in place, all in one step; returns the dates that were dropped whole.
 
-    Dates are days in UTC. Expired days are dropped as folders, without reading a row. Only the
-    day the limit falls into is rewritten, batch by batch if it has batches.
+    Dates are days in UTC. Expired days are dropped without reading a row, and only the day the
+    limit falls into is rewritten. A batch that a stream adds meanwhile stays until the next time.
+    What was dropped is off the table at once and off the disk after ``vacuum``.
     """
     limit = utc(as_of) - keep
-    files = Files(spark, table)
-    dropped = []
-    for folder in files.folders(table):
-        name, _, value = folder.partition("=")
-        if name != date_column:
-            continue
-        path = f"{table}/{folder}"
-        if value < limit.date().isoformat():
-            files.delete(path)
-            dropped.append(value)
-        elif value == limit.date().isoformat():
-            day = scan(spark, table).filter(F.col(date_column) == F.lit(limit.date()))
-            kept = retained(day, time_column, as_of, keep)
-            inner = files.folders(path)
-            if kept.isEmpty():
-                files.delete(path)
-                dropped.append(value)
-            elif inner:
-                column = inner[0].partition("=")[0]
-                left = {r[0] for r in kept.select(F.col(column).cast("string")).distinct().collect()}
-                replace_dates(kept, table, [date_column, column])
-                for part in inner:
-                    if part.partition("=")[2] not in left:
-                        files.delete(f"{path}/{part}")
-            else:
-                replace_dates(compacted(kept, time_column, date_column), table, [date_column])
-    return sorted(dropped)
+    day = f"{date_column}={limit.date().isoformat()}"
+    items = live_items(spark, table)
+    dated = [i for i in items if i.date.startswith(f"{date_column}=")]
+    gone = [i for i in dated if i.date < day]
+    boundary = [i for i in dated if i.date == day]
+    dropped = {i.date for i in gone}
+    rows = read_items(spark, table, boundary)
+    if rows is not None and not rows.filter(expired(rows, time_column, as_of, keep)).isEmpty():
+        column, name = second_column(items), f"{RETAINED}{MARK}{uuid.uuid4().hex}"
+        kept = compacted(retained(rows, time_column, as_of, keep), time_column, date_column)
+        kept = kept.withColumn(column, F.lit(name))
+        if not replace_items(kept, table, [*gone, *boundary], name, [date_column, column]):
+            dropped.add(day)
+    elif gone:
+        commit(spark, table, [], gone)
+    return sorted(date.partition("=")[2] for date in dropped)

@@ -274,6 +274,24 @@ ALL_ANOMALIES = (
 )
 
 
+#: The same with the feed that each was found in, and the detector's name.
+BY_FEED = (
+    "by_feed AS ("
+    + "\nUNION ALL\n".join(
+        f"SELECT '{detector}' AS detector, log_type AS feed, {RECORDS[name]} FROM {name}"
+        for name, detector in zip(
+            RECORDS,
+            (
+                "failure_rate_spikes", "missing_heartbeats", "high_response_times",
+                "transaction_timeouts", "volume_anomalies", "service_degradation",
+            ),
+            strict=True,
+        )
+    )
+    + ")"
+)
+
+
 def _over_run(body: str) -> str:
     """Over the anomalies of the last run."""
     return _with(LOG_EVENTS, FEEDS, ONE_RUN, DETECTORS, ALL_ANOMALIES, body=body)
@@ -729,6 +747,33 @@ ORACLE: dict[str, str] = {
         CASE WHEN severity = 'CRITICAL' THEN TIMESTAMP '2024-01-29' END AS acknowledged_at,
         CAST(NULL AS VARCHAR) AS acknowledged_by FROM anomalies"""
     ),
+    "rerun_acknowledged": _with(
+        LOG_EVENTS,
+        FEEDS,
+        ONE_RUN,
+        DETECTORS,
+        BY_FEED,
+        body=f"""SELECT {RECORD}, details, feed = 'bpm_audit' AS acknowledged,
+        CASE WHEN feed = 'bpm_audit' THEN TIMESTAMP '2024-01-29' END AS acknowledged_at,
+        CASE WHEN feed = 'bpm_audit' THEN 'operator' END AS acknowledged_by FROM by_feed""",
+    ),
+    "run_status": _with(
+        LOG_EVENTS,
+        FEEDS,
+        ONE_RUN,
+        DETECTORS,
+        BY_FEED,
+        body="""SELECT j.detector, j.feed, CASE WHEN j.feed = 'm2e_audit' THEN 'failed' ELSE 'ok' END AS status,
+        CASE WHEN j.feed <> 'm2e_audit' THEN (SELECT count(*) FROM by_feed b
+            WHERE b.detector = j.detector AND b.feed = j.feed) END AS row_count
+        FROM (VALUES ('failure_rate_spikes', 'bpm_audit'), ('failure_rate_spikes', 'm2e_audit'),
+            ('missing_heartbeats', 'bpm_audit'), ('missing_heartbeats', 'm2e_audit'), ('missing_heartbeats', 'm2e_perf'),
+            ('high_response_times', 'bpm_audit'), ('high_response_times', 'm2e_audit'), ('high_response_times', 'm2e_perf'),
+            ('volume_anomalies', 'bpm_audit'), ('volume_anomalies', 'm2e_audit'), ('volume_anomalies', 'm2e_perf'),
+            ('transaction_timeouts', 'm2e_perf'), ('service_degradation', 'm2e_perf')) j(detector, feed)
+        UNION ALL
+        SELECT 'saved', anomaly_type, 'ok', count(*) FROM by_feed GROUP BY anomaly_type""",
+    ),
     "latest_logs": _with(
         LOG_EVENTS,
         AUDIT_TABLE,
@@ -817,7 +862,7 @@ ORACLE: dict[str, str] = {
     "detect_from_lines": _over_lines(f"SELECT {RECORD}, details FROM anomalies"),
     "profile_family": _with(
         LOG_EVENTS,
-        AUDIT_TABLE.replace("FROM log_events", "FROM log_events, (VALUES (0), (1)) copies(c) WHERE c = 0 OR log_id % 3 = 0"),
+        AUDIT_TABLE.replace("FROM log_events", "FROM log_events, (VALUES (0), (1)) copies(c)"),
         AUDIT_PROFILE,
         body=AUDIT_PROFILE_QUERY[AUDIT_PROFILE_QUERY.rindex("SELECT window_start") :],
     ),
@@ -826,8 +871,8 @@ ORACLE: dict[str, str] = {
         WHERE detected_at >= TIMESTAMP '2024-01-29' - INTERVAL 30 DAY GROUP BY affected_service"""
     ),
     "latest_undated": _over_track(
-        """SELECT conversation_id, log_timestamp FROM track_mdc WHERE req_msg_size % 50 = 7
-        ORDER BY log_timestamp DESC NULLS LAST, conversation_id LIMIT 5000"""
+        """SELECT conversation_id, log_timestamp FROM track_mdc
+        ORDER BY log_timestamp DESC NULLS LAST, conversation_id"""
     ),
     "latest_track": _over_track("SELECT conversation_id, log_timestamp FROM track_mdc"),
     "profile_feeds": _with(

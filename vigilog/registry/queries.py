@@ -1,6 +1,6 @@
 """Registered queries: every operator run over the given tables.
 
-The log tables are the event views of ``vigilog.sources``: the whole ``events`` table
+The log tables are the event views of ``vigilog.registry``: the whole ``events`` table
 serves once as an audit feed and once as a tracking feed. Windows are as long as that
 table needs (it spans a month); all thresholds are the defaults.
 """
@@ -102,7 +102,7 @@ def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
         for as_of in RUNS:
             append_anomalies(detection.run_detection(logs, CONFIG, as_of), path)
         _anomaly_tables[key] = path
-    return read_anomalies(pin_utc(spark), _anomaly_tables[key])
+    return read_anomalies(pin_utc(spark), _anomaly_tables[key], declared=True)
 
 
 def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,10 +265,43 @@ def acknowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
     anomalies.write.partitionBy(DETECTED_DATE, RUN).parquet(path)
     critical = anomalies.filter(F.col("severity") == "CRITICAL").select("anomaly_id")
     maintenance.acknowledge(spark, path, critical, AS_OF)
-    marked = read_anomalies(spark, path)
+    return comparable(read_anomalies(spark, path).select(*ACKNOWLEDGED_RECORD))
+
+
+ACKNOWLEDGED_RECORD = (*RECORD, "details", "acknowledged", "acknowledged_at", "acknowledged_by")
+
+
+def rerun_acknowledged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed is run and its anomalies are acknowledged; then both feeds are run, twice.
+
+    Each id is in the table once, and what was acknowledged still is.
+    """
+    path, logs = fresh_path(spark, "rerun"), _logs(spark, sf_dir)
+    detection.detect_and_save({"bpm_audit": logs["bpm_audit"]}, CONFIG, AS_OF, path)
+    first = read_anomalies(spark, path).select("anomaly_id")
+    maintenance.acknowledge(spark, path, first, AS_OF, by="operator")
+    for _ in range(2):
+        detection.detect_and_save(logs, CONFIG, AS_OF, path)
+    saved = read_anomalies(spark, path, declared=True)
+    return comparable(saved.select(*ACKNOWLEDGED_RECORD))
+
+
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of each detector for each of three feeds, of which one can't be read."""
+    logs = _logs(spark, sf_dir)
+    torn = F.raise_error(F.lit("a torn file")).cast("string")
+    lost = logs["bpm_audit"].withColumn("transaction_name", torn)
+    table = fresh_path(spark, "isolated")
+    status = detection.detect_isolated_and_save(logs | {"m2e_audit": lost}, CONFIG, AS_OF, table)
+    saved = read_anomalies(spark, table, declared=True).groupBy("anomaly_type").count()
     return comparable(
-        marked.select(*RECORD, "details", "acknowledged", "acknowledged_at", "acknowledged_by")
-    )
+        status.select("detector", "feed", "status", "row_count").unionByName(
+            saved.select(
+                F.lit("saved").alias("detector"), F.col("anomaly_type").alias("feed"),
+                F.lit("ok").alias("status"), F.col("count").alias("row_count"),
+            )
+        )
+    )
 
 
 def dash_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,11 +312,12 @@ def dash_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """More rows than the table has, of which some have no time."""
+    """More rows than the whole table has, of which some have no time."""
     path = fresh_path(spark, "track-table")
-    logs = _normalized(spark, sf_dir, TRACK_MDC).filter("req_msg_size % 50 = 7")
+    logs = _normalized(spark, sf_dir, TRACK_MDC)
     logs.select("conversation_id", "log_timestamp", LOG_DATE).write.partitionBy(LOG_DATE).parquet(path)
-    found = alerts.latest(scan(spark, path), "log_timestamp", 5000, "conversation_id", LOG_DATE)
+    table = scan(spark, path)
+    found = alerts.latest(table, "log_timestamp", table.count() + 1, "conversation_id", LOG_DATE)
     return comparable(found.select("conversation_id", "log_timestamp"))
 
 
@@ -465,9 +499,9 @@ def detect_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_family(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The audit monitor over both audit feeds as one table."""
+    """The audit monitor over both audit feeds as one table; only one has a column more."""
     logs = event_views.audit_logs(_events(spark, sf_dir))
-    feeds = {"bpm_audit": logs, "m2e_audit": logs.filter("log_id % 3 = 0")}
+    feeds = {"bpm_audit": logs, "m2e_audit": logs.withColumn("extra", F.lit(1))}
     return monitoring.run_monitor(monitoring.family_logs(feeds, AUDIT), monitoring.AUDIT_MONITOR)
 
 
@@ -587,6 +621,8 @@ QUERIES: dict[str, Query] = {
     "anomalies_24h_by_severity": _dashboard(dashboards.LAST_DAY_BY_SEVERITY),
     "top_services_7d": _dashboard(dashboards.LAST_WEEK_TOP_SERVICES),
     "acknowledge": acknowledge,
+    "rerun_acknowledged": rerun_acknowledged,
+    "run_status": run_status,
     "latest_logs": latest_logs,
     "latest_anomalies": latest_anomalies,
     "profile_audit": _profiled(_profile_audit),

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,9 +48,10 @@ class Files:
     def __init__(self, spark: SparkSession, path: str):
         if not hasattr(spark, "_jvm"):
             raise RuntimeError("files can only be managed from a classic Spark session")
-        self._jvm = spark._jvm
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
+        self._conf = spark._jsc.hadoopConfiguration()
         self.path = self._path(path)
-        self._system = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._system = self.path.getFileSystem(self._conf)
 
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
@@ -59,10 +61,47 @@ class Files:
 
     def folders(self, path: str) -> list[str]:
         """Names of the folders in a folder; none if it is missing."""
+        return [name for name, folder in self.entries(path) if folder]
+
+    def entries(self, path: str) -> list[tuple[str, bool]]:
+        """(name, whether it is a folder) of everything in a folder, by name."""
         if not self.exists(path):
             return []
-        entries = self._system.listStatus(self._path(path))
-        return sorted(e.getPath().getName() for e in entries if e.isDirectory())
+        found = self._system.listStatus(self._path(path))
+        return sorted((e.getPath().getName(), e.isDirectory()) for e in found)
+
+    def changed(self, path: str) -> float:
+        """When a file or folder was last changed, in seconds since 1970."""
+        return self._system.getFileStatus(self._path(path)).getModificationTime() / 1000
+
+    def read(self, path: str) -> str:
+        stream = self._system.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, path: str, text: str) -> bool:
+        """Create a file whole or not at all; false if there is one already."""
+        target = self._path(path)
+        draft = self._path(f"{target.getParent()}/.draft-{uuid.uuid4().hex}")
+        stream = self._system.create(draft, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        hadoop = self._jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(target.toUri(), self._conf)
+        try:
+            # Without the option to overwrite, a rename onto an existing file fails.
+            context.rename(draft, target, self._gateway.new_array(hadoop.Options.Rename, 0))
+        except Py4JJavaError:
+            if not self.exists(path):
+                raise
+            return False
+        finally:
+            self._system.delete(draft, False)
+        return True
 
     def make(self, path: str, delete_on_exit: bool = False) -> None:
         self._system.mkdirs(self._path(path))
