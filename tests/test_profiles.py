@@ -217,3 +217,70 @@ def test_a_family_is_monitored_as_one_table(spark):
     assert {r.row_count for r in rows.collect()} == {2}
     with pytest.raises(ValueError):
         monitoring.family_logs(logs, "track_ctx")
+
+
+# --- refresh from a stored state -----------------------------------------------------
+
+STATE_MONITOR = monitoring.Monitor(
+    "log_timestamp",
+    ("transaction_name", "cluster"),
+    (
+        mean("ms", "response_time_ms"), percentile("p50", "response_time_ms", 0.5), maximum("most", "response_time_ms"),
+        total("rows", "1"), distinct("instances", "instance_name"), percentile("p95", "response_time_ms", 0.95),
+    ),
+    "1 hour",
+)
+
+
+def same_as_whole(spark, table, path):
+    stored = monitoring.read_profile_table(spark, path).drop(monitoring.WINDOW_DATE)
+    whole = monitoring.run_monitor(scan(spark, table), STATE_MONITOR)
+    return sorted(map(str, stored.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_a_refresh_from_state_reads_new_batches_only(spark, tmp_path):
+    from vigilog.plans import maintenance
+    from vigilog.sources.versions import read_state
+
+    table, path = str(tmp_path / "logs"), str(tmp_path / "profile")
+
+    def new_files():
+        rows, _ = monitoring.unseen_rows(spark, table, read_state(spark, f"{path}/_state").notes)
+        return [] if rows is None else rows.inputFiles()
+
+    batches(spark, table, (0, [(ago(hours=h), "a", False, h) for h in range(0, 60, 5)]))
+    assert len(monitoring.refresh_from_state(spark, table, STATE_MONITOR, path)) == 4
+    assert same_as_whole(spark, table, path) and new_files() == []
+    batches(spark, table, (1, [(ago(hours=50), "a", False, None)]), (2, [(ago(hours=50), "b", False, 7, None, None)]))
+    batches(spark, table, (0, [(ago(hours=2), "a", False, 900)]), stream="t")
+    assert all("s-000000000000" not in f for f in new_files()) and len(new_files()) == 3
+    # A rewrite merges a batch that nobody has seen.
+    maintenance.compact_table(spark, table, table)
+    assert monitoring.refresh_from_state(spark, table, STATE_MONITOR, path) == ["2024-01-26", "2024-01-28"]
+    assert same_as_whole(spark, table, path) and new_files() == []
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "profile").glob("*/*.parquet")}
+    maintenance.compact_table(spark, table, table)
+    assert monitoring.refresh_from_state(spark, table, STATE_MONITOR, path) == []
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "profile").glob("*/*.parquet")} == before
+
+
+def test_a_failed_refresh_is_made_good_by_the_next(spark, tmp_path, monkeypatch):
+    table, path = str(tmp_path / "logs"), str(tmp_path / "profile")
+    batches(spark, table, (0, [(ago(hours=h), "a", False, h) for h in range(0, 60, 5)]))
+    monitoring.refresh_from_state(spark, table, STATE_MONITOR, path)
+    batches(spark, table, (1, [(ago(hours=50), "a", False, 900)]))
+    for step in ("replace_items", "store_profile"):
+        with monkeypatch.context() as patch:
+            patch.setattr(monitoring, step, lambda *a, **k: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                monitoring.refresh_from_state(spark, table, STATE_MONITOR, path)
+    assert monitoring.refresh_from_state(spark, table, STATE_MONITOR, path) == ["2024-01-26"]
+    assert same_as_whole(spark, table, path)
+
+
+def test_a_custom_metric_has_no_state(spark):
+    from vigilog.operators.profiles import custom, profile_state
+
+    rows = audit(spark, [(NOW, "a", False, 1)])
+    with pytest.raises(ValueError, match="spread"):
+        profile_state(rows, "log_timestamp", [custom("spread", "stddev(response_time_ms)")], [])

@@ -103,21 +103,26 @@ def exact_percentiles(
     fractions: dict[str, float],
     spread: Callable[[DataFrame], DataFrame] | None = None,
     groups: list[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Per group: ``value_count``, ``value_mean`` and one column per named fraction.
 
-    ``value`` is an integer column; NULLs do not count. Groups are the ``keys``, unless
+    ``value`` is an integer column; NULLs do not count. A row stands for as many as its column
+    ``weight`` says, where one is named. Groups are the ``keys``, unless
     ``spread`` turns a row with the keys into one row per group, with columns ``groups``.
     """
     groups = groups or keys
     rows = with_bucket(
         df.filter(F.col(value).isNotNull()).select(
-            *keys, F.col(value).cast("bigint").alias("value")
+            *keys,
+            F.col(value).cast("bigint").alias("value"),
+            (F.lit(1) if weight is None else F.col(weight)).alias("weight"),
         )
     )
     # Equal values are counted once, before anything is shuffled or joined. Both passes read
     # this one exchange.
-    counted = rows.groupBy(*keys, "bucket", "value").agg(F.count(F.lit(1)).alias("rows"))
+    number = F.count(F.lit(1)) if weight is None else F.sum("weight")
+    counted = rows.groupBy(*keys, "bucket", "value").agg(number.alias("rows"))
     cells = counted.groupBy(*keys, "bucket").agg(
         F.sum(F.col("value").cast("double") * F.col("rows")).alias("total"),
         F.sum("rows").alias("rows"),

@@ -25,6 +25,9 @@ GRANULARITIES = ("1 hour", "1 day")
 PROFILE_KEYS = ["granularity", "window_start", "window_seconds", "slice_key", "slice_value"]
 
 
+ADDITIVE = ("mean", "total", "maximum")
+
+
 @dataclass(frozen=True)
 class Metric:
     """``kind`` says how ``source`` is aggregated.
@@ -123,49 +126,81 @@ def _combined(metric: Metric) -> Column:
     return value.cast(metric.type).alias(metric.name)
 
 
-def profile(
-    df: DataFrame,
-    time_column: str,
-    metrics: list[Metric],
-    slices: list[str],
-    granularities: tuple[str, ...] = GRANULARITIES,
-) -> DataFrame:
-    """One row per granularity, window and slice with ``row_count`` and the metrics."""
+def _finest(granularities: tuple[str, ...]) -> int:
     finest = 0
     for text in granularities:
         finest = gcd(finest, times.interval_seconds(text))
-    period = times.bucket_start(F.col(time_column), finest).alias("_moment")
-    rows = df.filter(F.col(time_column).isNotNull())
-    dimensions = [F.col(column) for column in slices]
+    return finest
+
+
+def _measured_columns(metrics: list[Metric]) -> dict[str, dict[str, float]]:
+    """Column → names and fractions of its percentiles."""
+    by_column: dict[str, dict[str, float]] = {}
+    for metric in _of_kind(metrics, "percentile"):
+        by_column.setdefault(metric.source, {})[metric.name] = metric.fraction
+    return by_column
 
-    additive = _of_kind(metrics, "mean", "total", "maximum")
-    uniques = _of_kind(metrics, "distinct")
-    base = rows.groupBy(
-        period, *dimensions, *[F.col(m.source).alias(f"{m.name}__value") for m in uniques]
-    ).agg(F.count(F.lit(1)).alias("row_count"), *[p for m in additive for p in _parts(m)])
+
+def _base_keys(metrics: list[Metric], slices: list[str]) -> list[str]:
+    return ["_moment", *slices, *[f"{m.name}__value" for m in _of_kind(metrics, "distinct")]]
+
+
+def _base(rows: DataFrame, metrics: list[Metric], slices: list[str]) -> DataFrame:
+    """One row for each finest window, combination of slices and value that is counted once."""
+    values = {f"{m.name}__value": F.col(m.source) for m in _of_kind(metrics, "distinct")}
+    parts = [p for m in _of_kind(metrics, *ADDITIVE) for p in _parts(m)]
+    keyed = [F.col(c) for c in ["_moment", *slices]] + [v.alias(n) for n, v in values.items()]
+    return rows.groupBy(*keyed).agg(F.count(F.lit(1)).alias("row_count"), *parts)
+
+
+def _from_parts(
+    base: DataFrame,
+    cells: dict[str, DataFrame],
+    weight: str | None,
+    metrics: list[Metric],
+    slices: list[str],
+    granularities: tuple[str, ...],
+) -> DataFrame:
+    """Profile rows from base rows and the measured cells of each percentile's column."""
     result = (
         _fan_out(base, "_moment", granularities, slices)
         .groupBy(*PROFILE_KEYS)
         .agg(
             F.sum("row_count").alias("row_count"),
-            *[_combined(metric) for metric in additive + uniques],
+            *[_combined(metric) for metric in _of_kind(metrics, *ADDITIVE, "distinct")],
         )
     )
-
-    by_column: dict[str, dict[str, float]] = {}
-    for metric in _of_kind(metrics, "percentile"):
-        by_column.setdefault(metric.source, {})[metric.name] = metric.fraction
-    for column, fractions in by_column.items():
-        cells = rows.select(period, *dimensions, F.col(column).alias("_measured"))
+    for column, fractions in _measured_columns(metrics).items():
         measured = exact_percentiles(
-            cells,
+            cells[column],
             ["_moment", *slices],
             "_measured",
             fractions,
             spread=lambda counts: _fan_out(counts, "_moment", granularities, slices),
             groups=PROFILE_KEYS,
+            weight=weight,
         )
         result = _attach(result, measured, list(fractions))
+    return result
+
+
+def profile(
+    df: DataFrame,
+    time_column: str,
+    metrics: list[Metric],
+    slices: list[str],
+    granularities: tuple[str, ...] = GRANULARITIES,
+) -> DataFrame:
+    """One row per granularity, window and slice with ``row_count`` and the metrics."""
+    period = times.bucket_start(F.col(time_column), _finest(granularities)).alias("_moment")
+    rows = df.filter(F.col(time_column).isNotNull())
+    dated = rows.withColumn("_moment", period)
+    cells = {
+        column: dated.select("_moment", *slices, F.col(column).alias("_measured"))
+        for column in _measured_columns(metrics)
+    }
+    base = _base(dated, metrics, slices)
+    result = _from_parts(base, cells, None, metrics, slices, granularities)
 
     free = _of_kind(metrics, "custom")
     if free:
@@ -176,6 +211,10 @@ def profile(
         )
         result = _attach(result, measured, [m.name for m in free])
 
+    return _shaped(result, metrics)
+
+
+def _shaped(result: DataFrame, metrics: list[Metric]) -> DataFrame:
     window = F.struct(
         F.col("window_start").alias("start"),
         F.timestamp_seconds(F.unix_timestamp("window_start") + F.col("window_seconds")).alias(
@@ -192,6 +231,66 @@ def profile(
     )
 
 
+# --- state that can be merged -------------------------------------------------------
+
+#: Column of a state that says what a row holds: base rows, or counts of a column's values.
+KIND, BASE = "_kind", "base"
+
+
+def profile_state(
+    df: DataFrame,
+    time_column: str,
+    metrics: list[Metric],
+    slices: list[str],
+    granularities: tuple[str, ...] = GRANULARITIES,
+) -> DataFrame:
+    """What has to be kept of rows so that their profile can be made later, with that of others.
+
+    Base rows hold sums, counts, maxima and the values that are counted once; the rest are counts of
+    the distinct values that percentiles need. All of it adds up: see ``merged_state``.
+    A custom metric can't be taken apart and is refused.
+    """
+    if free := [m.name for m in _of_kind(metrics, "custom")]:
+        raise ValueError(f"custom metrics have no state: {free}")
+    period = times.bucket_start(F.col(time_column), _finest(granularities))
+    dated = df.filter(F.col(time_column).isNotNull()).withColumn("_moment", period)
+    state = _base(dated, metrics, slices).withColumn(KIND, F.lit(BASE))
+    for column in _measured_columns(metrics):
+        values = (
+            dated.filter(F.col(column).isNotNull())
+            .groupBy("_moment", *slices, F.col(column).cast("bigint").alias("_measured"))
+            .agg(F.count(F.lit(1)).alias("_rows"))
+        )
+        state = state.unionByName(values.withColumn(KIND, F.lit(column)), allowMissingColumns=True)
+    return state
+
+
+def merged_state(states: DataFrame, metrics: list[Metric], slices: list[str]) -> DataFrame:
+    """The state of all rows together from several states' rows (equal keys become one row)."""
+    keys = {KIND, "_measured", *_base_keys(metrics, slices)} & set(states.columns)
+    ordered = [c for c in states.columns if c in keys]
+    parts = [c for c in states.columns if c not in keys]
+    return states.groupBy(*ordered).agg(
+        *[(F.max(c) if c.endswith("__max") else F.sum(c)).alias(c) for c in parts]
+    )
+
+
+def profile_from_state(
+    state: DataFrame,
+    metrics: list[Metric],
+    slices: list[str],
+    granularities: tuple[str, ...] = GRANULARITIES,
+) -> DataFrame:
+    """The same rows as ``profile`` of the rows that the state is made from."""
+    base = state.filter(F.col(KIND) == BASE)
+    cells = {
+        column: state.filter(F.col(KIND) == column).select("_moment", *slices, "_measured", "_rows")
+        for column in _measured_columns(metrics)
+    }
+    result = _from_parts(base, cells, "_rows", metrics, slices, granularities)
+    return _shaped(result, metrics)
+
+
 def _attach(result: DataFrame, measured: DataFrame, names: list[str]) -> DataFrame:
     """Add columns by profile key; slice keys and values may be NULL."""
     left, right = result.alias("l"), measured.alias("r")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
@@ -17,13 +18,25 @@ from vigilog.operators.profiles import (
     distinct,
     maximum,
     mean,
+    merged_state,
     percentile,
     profile,
+    profile_from_state,
+    profile_state,
     total,
 )
 from vigilog.plans.maintenance import broadcast_few, newest_batches
-from vigilog.session import Files
+from vigilog.session import Files, materialize
 from vigilog.sources.tables import INGEST_BATCH, INGEST_QUERY, LOG_DATE, replace_dates, scan
+from vigilog.sources.versions import (
+    MARK,
+    begin,
+    commit,
+    live_items,
+    read_items,
+    read_state,
+    replace_items,
+)
 
 WINDOW_DATE = "window_date"
 
@@ -179,5 +192,87 @@ def refresh_profile_table(
         _write_marks(df.sparkSession, path, marks)
 
 
+# --- refresh from a stored state -----------------------------------------------------
+
+STATE_DATE, STATE_PART = "state_date", "state_part"
+
+
+def _state_path(path: str) -> str:
+    """Inside the table, below a name that scans skip."""
+    return f"{path.rstrip('/')}/_state"
+
+
+def unseen_rows(spark: SparkSession, table: str, notes: dict) -> tuple[DataFrame | None, list[str]]:
+    """The rows of batches that ``notes`` have not seen, and the rewritten folders there are now.
+
+    Only folders of newer batches are read, and folders that a rewrite made since, which
+    may hold batches that were merged before anybody saw them: of these the newer batches' rows.
+    """
+    marks, seen = notes.get("marks", {}), set(notes.get("folders", []))
+    fresh, rewritten = [], []
+    for item in live_items(spark, table):
+        if MARK in item.leaf:
+            rewritten.append(item.path)
+            if item.path not in seen:
+                fresh.append(item)
+            continue
+        stream, _, number = item.value.rpartition("-")
+        if int(number) > marks.get(stream, -1):
+            fresh.append(item)
+    rows = read_items(spark, table, fresh)
+    if rows is None:
+        return None, rewritten
+    old = F.lit(False)
+    for stream, last in marks.items():
+        old = old | ((F.col(INGEST_QUERY) == stream) & (F.col(INGEST_BATCH) <= last))
+    return rows.filter(~F.coalesce(old, F.lit(False))), rewritten
+
+
+def refresh_from_state(spark: SparkSession, table: str, monitor: Monitor, path: str) -> list[str]:
+    """Bring a profile table up to date with an ingested ``table``; returns the days it renewed.
+
+    Beside the profile stands its state: partial sums, counts, maxima and counts of values for each
+    hour and combination of slices. Rows of new batches are reduced to such a state and merged with
+    the stored one of the days they belong to, and these days' profile is made from the state. No
+    batch is read twice, however old the days are that late rows belong to. The first refresh
+    reads everything.
+
+    The state switches versions together with the notes of what it has seen, so a failure neither
+    loses a batch nor counts one twice; days whose profile was not stored any more are renewed by
+    the next refresh. What retention takes from the log table stays in the profile. One refresh of a
+    table runs at a time; a second one fails with ``Conflict``.
+    """
+    store, metrics, slices = _state_path(path), list(monitor.metrics), list(monitor.slices)
+    before = begin(spark, store)
+    rows, rewritten = unseen_rows(spark, table, before.notes)
+    days = set(before.notes.get("stale", []))
+    if rows is not None:
+        new = profile_state(rows, monitor.time_column, metrics, slices)
+        new = materialize(new.withColumn(STATE_DATE, utc_day(F.col("_moment"))), "state")
+        marks = dict(before.notes.get("marks", {}))
+        found = rows.groupBy(INGEST_QUERY).agg(F.max(INGEST_BATCH).alias("n")).collect()
+        marks |= {r[INGEST_QUERY]: r["n"] for r in found if r[INGEST_QUERY] is not None}
+        touched = {str(r[0]) for r in new.select(STATE_DATE).distinct().collect()}
+        days |= touched
+        stored = [i for i in live_items(spark, store, before) if i.date.partition("=")[2] in touched]
+        known = read_items(spark, store, stored)
+        both = new if known is None else new.unionByName(known.drop(STATE_PART), allowMissingColumns=True)
+        merged = merged_state(both, [*metrics], [STATE_DATE, *slices])
+        name = f"refresh{MARK}{uuid.uuid4().hex}"
+        notes = {"marks": marks, "folders": rewritten, "stale": sorted(days)}
+        replace_items(
+            merged.withColumn(STATE_PART, F.lit(name)), store, stored, name, [STATE_DATE, STATE_PART],
+            on=before, notes=notes,
+        )
+    if not days:
+        return []
+    now = read_state(spark, store)
+    current = read_items(spark, store, [i for i in live_items(spark, store, now) if i.date.partition("=")[2] in days])
+    if current is not None:
+        store_profile(profile_from_state(current, metrics, slices), path)
+    commit(spark, store, [], [], on=now, notes=now.notes | {"stale": []})
+    return sorted(days)
+
+
 def read_profile_table(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path)

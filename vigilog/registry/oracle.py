@@ -845,6 +845,7 @@ ORACLE: dict[str, str] = {
     round(high_anomaly_rate * 100, 6) AS high_percent, unique_anomaly_types
     FROM profile WHERE {LAST_WEEK}""",
     "profile_incremental": AUDIT_PROFILE_QUERY,
+    "profile_state": AUDIT_PROFILE_QUERY,
     "stream_ingest_audit": _over_audit("SELECT * FROM audit"),
     "stream_ingest_track": _over_track("SELECT * FROM track_mdc"),
     "stream_ingest_track_ctx": _over_track("SELECT * FROM track_ctx"),
