@@ -7,8 +7,10 @@ from helpers import audit, plan_of, utc
 from pyspark.sql import functions as F
 
 from vigilog.operators.profiles import (
+    composed,
     custom,
     distinct,
+    distinct_sketch,
     drift,
     maximum,
     mean,
@@ -227,6 +229,9 @@ STATE_MONITOR = monitoring.Monitor(
     (
         mean("ms", "response_time_ms"), percentile("p50", "response_time_ms", 0.5), maximum("most", "response_time_ms"),
         total("rows", "1"), distinct("instances", "instance_name"), percentile("p95", "response_time_ms", 0.95),
+        composed("range", "hi - lo", hi="max(response_time_ms)", lo="min(response_time_ms)"),
+        composed("share", "bad / n", bad="sum(case when is_failure then 1.0 else 0.0 end)", n="count(*)"),
+        distinct_sketch("about", "instance_name"),
     ),
     "1 hour",
 )
@@ -284,3 +289,31 @@ def test_a_custom_metric_has_no_state(spark):
     rows = audit(spark, [(NOW, "a", False, 1)])
     with pytest.raises(ValueError, match="spread"):
         profile_state(rows, "log_timestamp", [custom("spread", "stddev(response_time_ms)")], [])
+
+
+def test_composed_metrics_are_reduced_before_they_are_fanned_out(spark):
+    rows = audit(spark, [(ago(hours=h % 30), "ab"[h % 2], h % 3 == 0, h) for h in range(90)])
+    own = [
+        composed("range", "hi - lo", "bigint", hi="max(response_time_ms)", lo="min( response_time_ms )"),
+        composed("share", "bad / n", bad="sum(case when is_failure then 1.0 else 0.0 end)", n="count(response_time_ms)"),
+    ]
+    free = [custom("range", "max(response_time_ms) - min(response_time_ms)", "bigint"), custom("share", "avg(cast(is_failure as int))")]
+    made, expected = (profile(rows, "log_timestamp", m, ["transaction_name"]) for m in (own, free))
+    assert [[round(r.share, 9), r.range, r.slice_value] for r in made.orderBy(*made.columns[:4]).collect()] == [
+        [round(r.share, 9), r.range, r.slice_value] for r in expected.orderBy(*expected.columns[:4]).collect()
+    ]
+    plan = plan_of(made, "simple")
+    assert plan.index("Generate explode") > 0 and plan.rindex("HashAggregate") > plan.rindex("Generate explode")
+    with pytest.raises(ValueError, match="avg"):
+        composed("x", "a", a="avg(response_time_ms)")
+
+
+def test_sketches_of_hours_merge_to_days(spark):
+    from vigilog.operators.profiles import SKETCH_ERROR
+
+    rows = spark.range(200_000).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 80_000).alias("t"),
+        F.concat(F.lit("u"), F.col("id") % 50_000).alias("user"),
+    )
+    day = profile(rows, "t", [distinct_sketch("about", "user")], [], ("1 hour", "1 day")).filter("granularity = '1 day'").first()
+    assert abs(day.about - 50_000) <= 5 * SKETCH_ERROR * 50_000

@@ -574,6 +574,17 @@ AUDIT_PROFILE_QUERY = _with(
     high_response_time_count, unique_services, round(error_rate, 6) AS error_rate
     FROM profile""",
 )
+OWN_PROFILE = _profile(
+    "audit_table",
+    ["transaction_name", "cluster"],
+    """
+    count(*) FILTER (WHERE is_failure AND response_time_ms > 10000)::DOUBLE
+        / greatest(count(*) FILTER (WHERE is_failure), 1) AS slow_failure_share,
+    max(response_time_ms) - min(response_time_ms) AS ms_range,
+    stddev_pop(response_time_ms) AS ms_deviation,
+    count(DISTINCT instance_name) AS instances
+    """,
+)
 LAST_WEEK = "window_start BETWEEN TIMESTAMP '2024-01-22' AND TIMESTAMP '2024-01-29'"
 PERIOD = "window_start AS time_window, granularity, slice_key, slice_value"
 
@@ -846,6 +857,13 @@ ORACLE: dict[str, str] = {
     FROM profile WHERE {LAST_WEEK}""",
     "profile_incremental": AUDIT_PROFILE_QUERY,
     "profile_state": AUDIT_PROFILE_QUERY,
+    "profile_custom": _with(
+        LOG_EVENTS,
+        AUDIT_TABLE,
+        OWN_PROFILE,
+        body=f"""SELECT {PROFILE_KEYS}, round(slow_failure_share, 6) AS slow_failure_share, ms_range,
+        round(ms_deviation, 6) AS ms_deviation, instances, true AS instances_about FROM profile""",
+    ),
     "stream_ingest_audit": _over_audit("SELECT * FROM audit"),
     "stream_ingest_track": _over_track("SELECT * FROM track_mdc"),
     "stream_ingest_track_ctx": _over_track("SELECT * FROM track_ctx"),

@@ -18,7 +18,15 @@ from vigilog.config import AUDIT, FEEDS, TRACK_CTX, TRACK_MDC, DetectorConfig, W
 from vigilog.operators import alerts, detectors
 from vigilog.operators.normalize import normalize
 from vigilog.functions.times import utc_date
-from vigilog.operators.profiles import drift
+from vigilog.operators.profiles import (
+    SKETCH_ERROR,
+    composed,
+    custom,
+    distinct,
+    distinct_sketch,
+    drift,
+    profile,
+)
 from vigilog.plans import dashboards, detection, maintenance, monitoring
 from vigilog.session import fresh_path, pin_utc
 from vigilog.registry import event_views, raw_views
@@ -457,6 +465,27 @@ def profile_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(monitoring.read_profile_table(spark, path))
 
 
+OWN_METRICS = [
+    composed(
+        "slow_failure_share", "slow_failures / greatest(failures, 1)",
+        failures="count(case when is_failure then 1 end)",
+        slow_failures="sum(case when is_failure and response_time_ms > 10000 then 1.0d else 0 end)",
+    ),
+    composed("ms_range", "most - least", "bigint", most="max(response_time_ms)", least="min(response_time_ms)"),
+    custom("ms_deviation", "stddev_pop(response_time_ms)"),
+    distinct("instances", "instance_name"),
+    distinct_sketch("instances_about", "instance_name"),
+]
+
+
+def profile_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of one's own, and a sketch that stays within five standard errors."""
+    logs = event_views.audit_logs(_events(spark, sf_dir))
+    made = profile(logs, "log_timestamp", OWN_METRICS, ["transaction_name", "cluster"])
+    near = F.abs(F.col("instances_about") - F.col("instances")) <= 5 * SKETCH_ERROR * F.col("instances")
+    return _flat(made.withColumn("instances_about", near))
+
+
 # --- streaming and upkeep ----------------------------------------------------------
 
 
@@ -651,6 +680,7 @@ QUERIES: dict[str, Query] = {
     "dash_severity_pct": _profile_dashboard(dashboards.SEVERITY_PERCENT, _profile_anomalies),
     "profile_incremental": profile_incremental,
     "profile_state": profile_state,
+    "profile_custom": profile_custom,
     "stream_ingest_audit": _ingested("bpm_audit", AUDIT, *AUDIT_COLUMNS),
     "stream_ingest_track": _ingested("bpm_adapter", TRACK_MDC, *TRACK_COLUMNS),
     "stream_ingest_track_ctx": _ingested(
