@@ -128,3 +128,18 @@ def test_an_ingested_table_can_be_compacted_trimmed_and_go_on(spark, tmp_path):
     copy = str(tmp_path / "copy")
     maintenance.compact_table(spark, path, copy)
     assert scan(spark, copy).count() == 7
+
+
+def test_fields_that_a_feed_adds_are_kept(spark, tmp_path):
+    path = str(tmp_path / "table")
+    put(tmp_path, "a.json", {"level": "INFO", "timeMillis": 1704067200000})
+    ingest(spark, tmp_path)
+    put(tmp_path, "b.json", {"level": "WARN", "timeMillis": 1704067200000, "new": {"a": [1, None]}, "message": {"Mode": "m", "More": 1.5}},
+        {"level": "INFO", "message.More": "x", "message": {"More": None}})
+    (tmp_path / "in" / "c.json").write_text("torn {")
+    ingest(spark, tmp_path, rescue=True)  # the same checkpoint
+    rows = {(r.level, r.message.Mode if r.message else None): r.rescued for r in scan(spark, path).collect()}
+    assert rows[("WARN", "m")] == {"new": '{"a":[1,null]}', "message.More": "1.5"}
+    found = [r.rescued for r in scan(spark, path).filter("level = 'INFO'").collect()]
+    assert sorted(found, key=str) == sorted([None, {"message.More": None}], key=str)
+    assert scan(spark, path).filter("rescued is not null").count() == 2

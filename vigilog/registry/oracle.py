@@ -867,6 +867,10 @@ ORACLE: dict[str, str] = {
     "stream_ingest_audit": _over_audit("SELECT * FROM audit"),
     "stream_ingest_track": _over_track("SELECT * FROM track_mdc"),
     "stream_ingest_track_ctx": _over_track("SELECT * FROM track_ctx"),
+    "stream_rescue": _over_audit(
+        """SELECT conversation_id, conversation_id AS added, '[1,"x"]' AS message_added, 2::BIGINT AS n_unknown
+        FROM audit WHERE conversation_id IS NOT NULL"""
+    ),
     "retention": _with(LOG_EVENTS, body=LOG_TABLE.format(where=KEPT)),
     "compaction": _with(LOG_EVENTS, body=LOG_TABLE.format(where="")),
     "schema_evolution": _with(

@@ -516,6 +516,24 @@ def _ingest_twice(
     return table, good
 
 
+def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that begins to send two fields more: what the log table has of them."""
+    source, table = fresh_path(spark, "rescue-files"), fresh_path(spark, "rescue-table")
+    lines = raw_views.feed_lines(_events(spark, sf_dir), AUDIT)
+    own = F.get_json_object("value", "$.message.ConversationId")
+    added = F.concat(F.lit('{"added":{"of":"'), own, F.lit('"},'), F.substring("value", 2, 2**31 - 1))
+    added = F.regexp_replace(added, r'"message":\{', '"message":{"Added":[1,"x"],')
+    write_lines(lines.select(F.coalesce(added, "value").alias("value")).repartition(4), source)
+    checkpoint = fresh_path(spark, "rescue-checkpoint")
+    start_ingest(spark, "bpm_audit", source, table, checkpoint, trigger=None, rescue=True).awaitTermination()
+    good, _ = split_corrupt(scan(spark, table), AUDIT)
+    fields = F.col("rescued")
+    return good.filter("conversation_id is not null").select(
+        "conversation_id", F.get_json_object(fields["added"], "$.of").alias("added"),
+        fields["message.Added"].alias("message_added"), F.size(fields).cast("bigint").alias("n_unknown"),
+    )
+
+
 def ingest_retain_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ingested table after in-place compaction, retention, and a run with nothing new."""
     table, _ = _ingest_twice(spark, sf_dir, "bpm_audit", AUDIT)
@@ -686,6 +704,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_track_ctx": _ingested(
         "m2e_perf", TRACK_CTX, *TRACK_COLUMNS, *FAULT_COLUMNS
     ),
+    "stream_rescue": stream_rescue,
     "retention": retention,
     "compaction": compaction,
     "schema_evolution": schema_evolution,

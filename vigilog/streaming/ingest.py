@@ -25,6 +25,7 @@ def start_ingest(
     checkpoint: str,
     trigger: str | None = TRIGGER,
     max_files: int = MAX_FILES,
+    rescue: bool = False,
 ) -> StreamingQuery:
     """Append a feed to its log table.
 
@@ -36,9 +37,11 @@ def start_ingest(
 
     Lines that are not JSON keep their text in the corrupt column. They have no time, so
     they land in the partition without a date, which no time range ever reads; see
-    ``quarantined``.
+    ``quarantined``. With ``rescue`` fields that a feed adds are kept in a map; a table may begin to
+    have that column at any time.
     """
-    rows = normalize(stream_feed(spark, FEEDS[feed].family, source, max_files), FEEDS[feed].family)
+    family = FEEDS[feed].family
+    rows = normalize(stream_feed(spark, family, source, max_files, rescue), family)
 
     def save(batch: DataFrame, number: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
