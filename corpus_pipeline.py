@@ -28,8 +28,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of at least 10 documents go from every document; n_chars follows the text."""
-    kept = dedup_lines(docs, min_docs=10, min_chars=1)
+    """Lines of at least 10 documents go from every document; n_chars follows the text.
+
+    Columns of documents that are called like the operator's counts keep their own values.
+    """
+    own = {c: f"__own_{c}" for c in ("n_lines", "n_dropped") if c in docs.columns}
+    kept = dedup_lines(docs.withColumnsRenamed(own), min_docs=10, min_chars=1).drop(*own)
+    kept = kept.withColumnsRenamed({new: old for old, new in own.items()})
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
