@@ -274,3 +274,32 @@ def test_added_tokens_are_split_off_like_in_the_tokenizers_library(spark):
         ids = [int(i) for part in pieces.ids for i in part]
         assert ids == [*other.encode(text, add_special_tokens=False).ids, packing.END_ID]
         assert list(pieces.start) == [0, *pieces.length.cumsum()[:-1]]
+
+
+def test_line_stage_keeps_columns_called_like_the_counts(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(n, "shared\nown " + str(n), "en", "s", 0) for n in range(12)]
+    docs = spark.createDataFrame(rows, DDL).withColumns({c: F.lit("clash") for c in ("n_lines", "n_dropped")})
+    found = corpus_pipeline.line_stage(spark, docs, str(tmp_path))
+    assert found.columns == docs.columns
+    kept = {(r.doc_id, r.text, r.n_chars, r.n_lines, r.n_dropped) for r in found.collect()}
+    assert kept == {(n, f"own {n}", len(f"own {n}"), "clash", "clash") for n in range(12)}
+
+
+def test_the_training_sample_ends_in_hash_order(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda samples: seen.append(len(samples)))
+    texts = [(n, "word " * (5 if n % 2 else 400) + str(n), n % 2) for n in range(40) if not quality_held(n)]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(n, q, 0) for n, _, q in texts], LABELS)
+    quality.fit(docs, labels)
+    monkeypatch.setattr(quality, "TRAIN_ENTRIES", 1)
+    quality.fit(docs, labels)
+    assert seen == [len(texts), 1]
+
+
+def quality_held(doc_id):
+    import zlib
+
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
