@@ -14,8 +14,8 @@ their sets is at least the threshold, and grouped by the connected components of
    every pair that shares a bucket is inside one group, and no pairs are listed.
 3. Verification inside each candidate group, on full sets of 64-bit shingle hashes. Shingles are
    ordered from rare to common in the group; two sets can only reach the threshold if their
-   first few shingles in this order share one. Pairs that are in one component already are not
-   compared again (union-find). This loses no link between nodes that share a bucket, directly or
+   first few shingles in this order share one. Neighbours under a shingle are compared first; after
+   that only sets outside the largest component look for more, and never inside their own (union-find). This loses no link between nodes that share a bucket, directly or
    not. Groups above ``GROUP_SHINGLES`` are cut into chunks, and each pair of chunks is a task.
 4. The tasks' forests are joined by distributed connected components.
 
@@ -151,14 +151,32 @@ def sign(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 class UnionFind:
-    """Groups of 0..n-1, with the smallest member as root."""
+    """Groups of 0..n-1. ``root`` names the group of each; of two that join, the smaller one is relabelled."""
 
     def __init__(self, n: int):
         self.root = np.arange(n)
+        self._members = {}
 
     def join(self, a: int, b: int) -> None:
-        a, b = sorted((self.root[a], self.root[b]))
-        self.root[self.root == b] = a
+        a, b = int(self.root[a]), int(self.root[b])
+        if a == b:
+            return
+        big, small = (self._members.pop(r, None) or [r] for r in (a, b))
+        if len(big) < len(small):
+            big, small, a = small, big, b
+        self.root[small] = a
+        big.extend(small)
+        self._members[a] = big
+
+    def largest(self) -> int:
+        """The name of the largest group; of equally large ones any."""
+        return max(self._members, key=lambda r: len(self._members[r]), default=0)
+
+    def smallest(self) -> np.ndarray:
+        """The smallest member of each one's group."""
+        least = np.full(len(self.root), len(self.root))
+        np.minimum.at(least, self.root, np.arange(len(self.root)))
+        return least[self.root]
 
 
 def linked(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> np.ndarray:
@@ -183,25 +201,38 @@ def linked(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None)
     listed = head_set[order]
     starts = np.concatenate([[0], np.cumsum(np.bincount(head_token, minlength=len(count)))])
     tokens_of = np.split(head_token, np.cumsum(prefix)[:-1])
-    for x in np.argsort(size, kind="stable"):
+
+    def near_enough(x: int, y: int) -> bool:
+        at = np.minimum(np.searchsorted(sets[x], sets[y]), size[x] - 1)
+        both = np.count_nonzero(sets[x][at] == sets[y])
+        return 100 * both >= percent * (size[x] + size[y] - both)
+
+    # Neighbours in the lists first: most copies of a template are one group after a pass that is linear.
+    by_size = np.lexsort((listed, size[listed], head_token[order]))
+    row = listed[by_size]
+    beside = np.flatnonzero(head_token[order][1:] == head_token[order][:-1])
+    for x, y in zip(row[beside], row[beside + 1], strict=True):
+        if groups.root[x] != groups.root[y] and (side is None or side[x] != side[y]) and near_enough(x, y):
+            groups.join(x, y)
+    # Of a pair in different groups at least one set is outside the largest.
+    rest = np.flatnonzero(groups.root != groups.largest())
+    for x in rest[np.argsort(size[rest], kind="stable")]:
         lists = [listed[starts[t] : starts[t + 1]] for t in tokens_of[x] if starts[t + 1] - starts[t] > 1]
         if not lists:
             continue
-        near, shares = np.unique(np.concatenate(lists), return_counts=True)
-        fit = (size[near] < size[x]) | ((size[near] == size[x]) & (near < x))
-        fit &= (100 * size[near] >= percent * size[x]) & (groups.root[near] != groups.root[x])
+        near = np.concatenate(lists)
+        fit = groups.root[near] != groups.root[x]
+        fit &= (100 * size[near] >= percent * size[x]) & (100 * size[x] >= percent * size[near])
         if side is not None:
             fit &= side[near] != side[x]
-        near, shares = near[fit], shares[fit]
+        near, shares = np.unique(near[fit], return_counts=True)
         near = near[np.argsort(-shares, kind="stable")]
         while len(near):
             y, near = near[0], near[1:]
-            at = np.minimum(np.searchsorted(sets[x], sets[y]), size[x] - 1)
-            both = np.count_nonzero(sets[x][at] == sets[y])
-            if 100 * both >= percent * (size[x] + size[y] - both):
+            if near_enough(x, y):
                 groups.join(x, y)
                 near = near[groups.root[near] != groups.root[x]]
-    return groups.root
+    return groups.smallest()
 
 
 def verify(members: DataFrame, words: int, percent: int) -> DataFrame:
