@@ -41,6 +41,8 @@ RATE = 0.0625
 STEP = 8
 LEAST_Q = 4
 BLOCK_CHARS = 1_000_000
+#: Hits that are expanded at a time.
+HITS = 1 << 20
 
 _WHITE = np.array([ord(c) for c in WHITE], np.uint32)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -103,7 +105,7 @@ class Index:
 
 
 def build_index(items: list[tuple[object, str]], window: int = WINDOW, rate: float = RATE) -> Index:
-    """``items`` of at least Q code points; shorter ones are found in any text and not searched."""
+    """``items`` of at least Q code points; ``unsearched`` names the shorter ones."""
     items = [(i, len(t), *normal(t)) for i, t in items]
     items = [x for x in items if len(x[2]) >= Q]
     q, step = plan(np.array([min(len(c), window) for _, _, c, _ in items], np.int64), rate)
@@ -148,6 +150,36 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, wins: np.ndar
     return best, np.clip(wins + n + diagonals[column], 0, len(text))
 
 
+def band_counts(place_in_text: np.ndarray, gram: np.ndarray, of: np.ndarray, index: Index, longest: int):
+    """(text, item, strip of diagonals, hits), sorted, of hits given by their place, gram and text.
+
+    A gram that an item repeats is as many hits. They are expanded ``HITS`` at a time and counted
+    by strip at once, so neither a repeated gram in an item nor one in a text takes more memory.
+    """
+    count = index.starts[gram + 1] - index.starts[gram]
+    until = np.cumsum(count)
+    items, strips = len(index.codes), (longest + max(len(c) for c in index.codes)) // index.step + 2
+    shift = max(len(c) for c in index.codes) // index.step + 1
+    keys, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    s = 0
+    while s < len(gram):
+        done = until[s - 1] if s else 0
+        e = max(s + 1, int(np.searchsorted(until, done + HITS, "right")))
+        own = count[s:e]
+        run = np.repeat(np.arange(s, e), own)
+        entry = np.arange(len(run)) - np.repeat(np.cumsum(own) - own, own) + np.repeat(index.starts[gram[s:e]], own)
+        strip = (place_in_text[run] - index.place[entry]) // index.step + shift
+        waiting.append(np.unique((of[run] * items + index.item[entry]) * strips + strip, return_counts=True))
+        s = e
+        if s == len(gram) or sum(len(k) for k, _ in waiting) > max(HITS, len(keys)):
+            keys, back = np.unique(np.concatenate([keys, *[k for k, _ in waiting]]), return_inverse=True)
+            # Whole numbers below 2**53 are exact as weights.
+            held = np.bincount(back, np.concatenate([held, *[n for _, n in waiting]])).astype(np.int64)
+            waiting.clear()
+    return keys // strips // items, keys // strips % items, keys % strips - shift, held
+
+
 def leaks_in(texts: list[str], index: Index, window: int, rate: float) -> Iterator[tuple]:
     """(text number, item number, start, end, edits, covered) of every leak in ``texts``."""
     codes, origins = ([x[k] for x in map(normal, texts)] for k in range(2)) if texts else ([], [])
@@ -166,57 +198,64 @@ def leaks_in(texts: list[str], index: Index, window: int, rate: float) -> Iterat
     at, gram, of = at[whole], gram[whole], of[whole]
     if not len(at):
         return
-    count = index.starts[gram + 1] - index.starts[gram]
-    run = np.repeat(np.arange(len(at)), count)
-    entry = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(index.starts[gram], count)
-    item, place, of = index.item[entry], index.place[entry], of[run]
-    diagonal = at[run] - (ends[of] - np.array([len(c) for c in codes])[of]) - place
-    band = diagonal // width
-
     sizes = np.array([len(c) for c in index.codes])
     n_of = np.minimum(sizes, window)
     e_of = np.array([budget(int(n), rate) for n in n_of])
     need = n_of + 1 - q * (e_of + 1)
-    order = np.lexsort((place, band, item, of))
-    of, item, place, band = of[order], item[order], place[order], band[order]
-    new = np.concatenate([[True], (np.diff(of) != 0) | (np.diff(item) != 0) | (np.diff(band) != 0)])
-    start = np.flatnonzero(new)
-    end = np.append(start[1:], len(of))
-    held = end - start
+    base = ends - np.array([len(c) for c in codes])
+    of, item, band, held = band_counts(at - base[of], gram, of, index, len(joined))
     # A band is two strips of diagonals: a strip and the next one, if that has hits.
-    after = np.zeros(len(start), bool)
-    after[:-1] = (of[start[1:]] == of[start[:-1]]) & (item[start[1:]] == item[start[:-1]]) & (band[start[1:]] == band[start[:-1]] + 1)
+    after = np.zeros(len(of), bool)
+    after[:-1] = (of[1:] == of[:-1]) & (item[1:] == item[:-1]) & (band[1:] == band[:-1] + 1)
     both = held + np.where(after, np.append(held[1:], 0), 0)
-    found: dict[tuple[int, int], list] = {}
-    for g in np.flatnonzero(both >= need[item[start]]):
-        t, i = int(of[start[g]]), int(item[start[g]])
+    # Of each text and item: where windows start, fewest edits, first and last end.
+    found: dict[tuple[int, int], tuple[np.ndarray, int, int, int]] = {}
+    own: tuple[int, np.ndarray] = (-1, hashes[:0])
+    for g in np.flatnonzero(both >= need[item]):
+        t, i = int(of[g]), int(item[g])
         n, e = int(n_of[i]), int(e_of[i])
-        places = np.unique(place[start[g] : end[g + 1] if after[g] else end[g]])
+        low = int(band[g]) * width
+        if own[0] != i:
+            own = i, gram_hashes(index.codes[i], q)
+        text_grams = hashes[int(base[t]) : int(ends[t]) - q + 1]
         marks = np.zeros(int(sizes[i]) - q + 2, np.int64)
-        marks[places + 1] = 1
+        for diagonal in range(low, low + (2 if after[g] else 1) * width):
+            first, last = max(0, -diagonal), min(len(own[1]), len(text_grams) - diagonal)
+            if first < last:
+                marks[first + 1 : last + 1] |= own[1][first:last] == text_grams[first + diagonal : last + diagonal]
         marks = np.cumsum(marks)
         wins = np.flatnonzero(marks[n - q + 1 :] - marks[: len(marks) - (n - q + 1)] >= need[i])
         if not len(wins):
             continue
-        low = int(band[start[g]]) * width
         edits, stop = align(index.codes[i], codes[t], low - e, low + 2 * width + e, wins, n)
         good = edits <= e
         if good.any():
-            found.setdefault((t, i), []).append((wins[good], edits[good], stop[good], n))
-    for (t, i), parts in found.items():
-        wins = np.concatenate([p[0] for p in parts])
-        stop = np.concatenate([p[2] for p in parts])
-        n = parts[0][3]
+            starts, *old = found.get((t, i), (np.zeros(int(sizes[i]), bool), e, int(stop.max()), 0))
+            starts[wins[good]] = True
+            new = (int(edits[good].min()), int(stop[good].min()), int(stop[good].max()))
+            found[t, i] = (starts, min(old[0], new[0]), min(old[1], new[1]), max(old[2], new[2]))
+    for (t, i), (starts, edits, first, last) in found.items():
+        n = int(n_of[i])
+        wins = np.flatnonzero(starts)
         marks = np.zeros(int(sizes[i]) + 1, np.int64)
-        np.add.at(marks, wins, 1)
-        np.add.at(marks, wins + n, -1)
+        marks[wins] += 1
+        marks[wins + n] -= 1
         spans = np.diff(index.places[i], append=index.lengths[i])
         covered = int(spans[np.cumsum(marks)[:-1] > 0].sum())
-        edits = min(int(p[1].min()) for p in parts)
-        first, last = max(0, int(stop.min()) - n), int(stop.max()) - 1
+        first, last = max(0, first - n), last - 1
         yield t, i, int(origins[t][first]), int(origins[t][last]) + 1, edits, covered
 
 
+def unsearched(benchmark: DataFrame) -> DataFrame:
+    """item_id and text of the items below ``Q`` normalised code points, which ``find_leaks`` does not search.
+
+    So short a string stands in many clean documents, so it is no evidence of a leak; a benchmark
+    should join such items with their context. Null texts are empty; repeated rows stay.
+    """
+    one = F.regexp_replace(text_of(), f"[{WHITE}]+", " ")
+    return benchmark.filter(F.length(one) < Q).select("item_id", "text")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate: float = RATE) -> DataFrame:
     """doc_id, item_id, start, end, edits, covered for every item that leaks into a document.
 
@@ -224,7 +263,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rate
     edit budget), edits are those of the best window, covered counts the item's code points that
     lie in matched windows.
 
-    Null texts and items match nothing, nor do items below ``Q`` normalised code points. Repeated rows on
+    Null texts and items match nothing, nor do items below ``Q`` normalised code points
+    (``unsearched`` returns those). Repeated rows on
     either side give repeated results; null ids pass through. Empty tables give an empty result.
     Other columns are not read.
     """
