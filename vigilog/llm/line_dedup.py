@@ -14,7 +14,8 @@ document; keys shorter than ``min_chars`` code points never are.
    copied to several tasks, in proportion to the hashes that come to it. No line is joined with
    its count, and no group is gathered: both build and probe stream over sorted partitions, and
    the largest thing in memory is one shard.
-4. What was found goes back to the texts by their hash, and each text is filtered in one pass.
+4. What was found goes back to the texts by their hash, and each text is filtered in one pass;
+   only hashes of lines go to Python there.
 
 Texts are never joined or grouped by line. The full text is shuffled once.
 """
@@ -24,9 +25,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType
 
 from vigilog.llm.common import WHITE, hash128, lower_ascii, text_of
 from vigilog.llm.perfect_hash import PerfectHash, mix
@@ -185,6 +188,19 @@ def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     return hits.groupBy("text").agg(F.collect_set("line").alias("lines"))
 
 
+@F.pandas_udf(ArrayType(BooleanType()))
+def among(a: pd.Series, b: pd.Series, of_a: pd.Series, of_b: pd.Series) -> pd.Series:
+    """Whether each hash (halves a, b) is one of the others: linear, where ``array_contains`` is their product."""
+
+    def flags(a: np.ndarray | None, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> list[bool] | None:
+        if a is None:
+            return None
+        gone = set(zip(of_a.tolist(), of_b.tolist(), strict=True))
+        return [x in gone for x in zip(a.tolist(), b.tolist(), strict=True)]
+
+    return pd.Series([flags(*x) for x in zip(a, b, of_a, of_b, strict=True)], dtype=object)
+
+
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """Drop lines found in ``min_docs`` documents or more; add n_lines and n_dropped.
 
@@ -201,10 +217,14 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Data
     )
     joined = docs.withColumn("__text", hash128(text_of())).join(drop, "__text", "left")
     lines = lines_of(text_of())
+    hashes = F.when(F.col("__drop").isNotNull(), F.transform(lines, lambda x: hash128(key_of(x))))
+    joined = joined.withColumn(
+        "__gone", among(*[c.getField(half) for c in (hashes, F.col("__drop")) for half in "ab"])
+    )
     kept = F.when(F.col("__drop").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: ~F.array_contains(F.col("__drop"), hash128(key_of(x))))
+        F.filter(lines, lambda x, n: ~F.get("__gone", n))
     )
     joined = joined.withColumn("__kept", kept).withColumns(
         {"n_lines": F.size(lines).cast("long"), "n_dropped": (F.size(lines) - F.size("__kept")).cast("long")}
     )
-    return joined.withColumn("text", F.concat_ws("\n", "__kept")).drop("__text", "__drop", "__kept")
+    return joined.withColumn("text", F.concat_ws("\n", "__kept")).drop("__text", "__drop", "__gone", "__kept")
