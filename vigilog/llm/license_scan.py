@@ -100,6 +100,11 @@ class Scanner:
             span = len(words) if t.exact else len(words) * 3 // 2 + 4
             self.templates.append((t, words, Counter(words), span))
         self.known = {w for _, words, _, _ in self.templates for w in words}
+        # Templates by their needed word that fewest others need, so a text asks for few of them.
+        needs = Counter(w for t in templates for w in set(t.needed))
+        self.by_word: dict[str, list[int]] = {}
+        for n, t in enumerate(templates):
+            self.by_word.setdefault(min(t.needed, key=lambda w: (needs[w], w)), []).append(n)
 
     def passages(self, words: list[str], counts: Counter, size: int, span: int) -> list[tuple[int, int]]:
         """(capped count, start) of passages that could reach the coverage, best first.
@@ -129,7 +134,8 @@ class Scanner:
         words = words_of(text)
         present = Counter(w for w in words if w in self.known)
         finds: list[tuple[int, int, float, Template]] = []
-        for template, own, counts, span in self.templates:
+        for at in sorted(n for w in present if w in self.by_word for n in self.by_word[w]):
+            template, own, counts, span = self.templates[at]
             if len(words) < self.least * len(own) or any(w not in present for w in template.needed):
                 continue
             most = sum(min(n, present[w]) for w, n in counts.items())

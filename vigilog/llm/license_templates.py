@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pkgutil
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 
@@ -43,6 +44,63 @@ _NEITHER = (
     "products derived from this software without specific prior written permission."
 )
 
+# Licences by identifier, with the names that one-line notices use for them.
+_NAMED = {
+    ("MIT", "permissive"): ("MIT License", "MIT licence", "MIT"),
+    ("Apache-2.0", "permissive"): ("Apache License 2.0", "Apache License v2.0", "Apache License version 2.0", "Apache 2.0", "Apache 2.0 License", "Apache-2.0"),
+    ("BSD-2-Clause", "permissive"): ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"),
+    ("BSD-3-Clause", "permissive"): ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+    ("ISC", "permissive"): ("ISC License",),
+    ("MPL-2.0", "weak copyleft"): ("Mozilla Public License 2.0", "Mozilla Public License v2.0", "MPL 2.0", "MPL-2.0"),
+    ("Unlicense", "public domain"): ("Unlicense",),
+    ("CC0-1.0", "public domain"): ("CC0", "CC0 1.0", "CC0 1.0 Universal"),
+}
+_LEADS = ("licensed", "released", "distributed", "available", "published")
+_TERMS = ("under", "under the", "under the terms of the")
+# The GNU family by short name, with the versions there are.
+_FAMILY = {
+    ("GPL", "copyleft", "General"): ("1", "2", "3"),
+    ("LGPL", "weak copyleft", "Lesser General"): ("2.1", "3"),
+    ("AGPL", "network copyleft", "Affero General"): ("3",),
+}
+# Further identifiers of SPDX lines.
+_SPDX = {
+    "permissive": ("0BSD", "MIT-0", "Zlib", "BSL-1.0", "Apache-1.1", "BSD-4-Clause", "PostgreSQL", "Python-2.0"),
+    "weak copyleft": ("LGPL-2.0-only", "LGPL-2.0-or-later", "MPL-1.1", "EPL-1.0", "EPL-2.0", "CDDL-1.0"),
+    "attribution": ("CC-BY-4.0", "CC-BY-3.0"),
+    "share-alike": ("CC-BY-SA-4.0", "CC-BY-SA-3.0"),
+    "no derivatives": ("CC-BY-ND-4.0",),
+    "non-commercial": ("CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0"),
+}
+
+
+def _line(license: str, kind: str, text: str) -> Template:
+    """A notice of one line, of which every word counts."""
+    return Template(license, kind, text, tuple(text.lower().replace("-", " ").replace(":", " ").split()), exact=True)
+
+
+def _one_line() -> Iterator[Template]:
+    """Usual wordings of one line: a lead and a name, short GNU names, and SPDX lines.
+
+    Names of other than the GNU family need a lead: "MIT" alone is no notice.
+    """
+    spdx = [(name, name, kind) for kind, names in _SPDX.items() for name in names]
+    for (license, kind), names in _NAMED.items():
+        spdx.append((license, license, kind))
+        for name in names:
+            yield from (_line(license, kind, f"{lead} {terms} {name}") for lead in _LEADS for terms in _TERMS)
+    for (short, kind, long), versions in _FAMILY.items():
+        for version in versions:
+            full = version if "." in version else f"{version}.0"
+            license = f"{short}-{full}"
+            spdx += [(license + end, license, kind) for end in ("", "-only", "-or-later")]
+            for number in {version, full}:
+                yield from (_line(license, kind, name) for name in (f"GNU {short} v{number}", f"GNU {short} {number}", f"GNU {short} version {number}", f"{short}v{number}"))
+                yield from (_line(license, kind, f"{lead} {terms} {short} {v}{number}") for lead in _LEADS for terms in _TERMS for v in ("", "v", "version "))
+                yield from (_line(license, kind, f"GNU {long} Public License {v}{number}") for v in ("", "v", "version "))
+    for name, license, kind in spdx:
+        yield _line(license, kind, f"SPDX-License-Identifier: {name}")
+
 
 # Wordings as published by their licences' stewards, and usual one-line notices.
 TEMPLATES = (
@@ -121,6 +179,7 @@ TEMPLATES = (
         "commercial or non-commercial, and by any means.",
         ("unencumbered", "public", "domain"),
     ),
+    *_one_line(),
     # Whole licences.
     Template("Apache-2.0", "permissive", _full("Apache-2.0"), ("apache", "2.0")),
     Template("CC0-1.0", "public domain", _full("CC0-1.0"), ("cc0",)),
