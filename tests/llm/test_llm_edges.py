@@ -1,11 +1,13 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from vigilog.llm import chat, fingerprint, packing, quality
 from vigilog.llm.components import components
-from vigilog.llm.decontaminate import find_leaks
+from vigilog.llm.decontaminate import find_leaks, unsearched
 from vigilog.llm.html_main import extract_main
 from vigilog.llm.license_scan import scan_licenses
 from vigilog.llm.line_dedup import dedup_lines
@@ -49,6 +51,23 @@ def run_all(spark, docs):
     }
 
 
+def test_line_dedup_is_linear_in_the_lines_of_a_document(spark):
+    frequent = [f"Line {n}" for n in range(16_000)]
+    rows = [(d, "\n".join([f"own {d}", *frequent, "", " LINE 7 "]) if d % 2 else f"own {d}\n" + "\n".join(frequent)) for d in range(12)]
+    docs = spark.createDataFrame([*rows, (99, None)], "doc_id bigint, text string")
+    begin = time.monotonic()
+    out = {r.doc_id: r for r in dedup_lines(docs, 10).collect()}
+    assert time.monotonic() - begin < 60
+    assert all(out[d].text == (f"own {d}\n" if d % 2 else f"own {d}") for d in range(12))
+    assert all((out[d].n_lines, out[d].n_dropped) == ((16_003, 16_001) if d % 2 else (16_001, 16_000)) for d in range(12))
+    assert (out[99].text, out[99].n_lines, out[99].n_dropped) == ("", 1, 0)
+
+
+def test_short_items_are_returned_as_unsearched(spark):
+    items = spark.createDataFrame([(1, "nine  code"), (2, "ten co  de x"), (3, None), (None, "")], ITEMS)
+    assert {r.item_id for r in unsearched(items).collect()} == {1, 3, None}
+
+
 def test_every_operator_on_odd_rows(spark, docs):
     out = {k: v.collect() for k, v in run_all(spark, docs).items()}
     assert len(out["leaks"]) == 3 and {r.item_id for r in out["leaks"]} == {1}
