@@ -113,6 +113,32 @@ def test_buckets_keep_the_order_and_are_few(spark):
     assert octave == 2 ** (percentiles.BUCKET_DIGITS - 1)
 
 
+def test_parts_keep_the_order_and_are_half_the_digits(spark):
+    """Around 2^50 buckets have 2^44 values: 2^22 parts of 2^22 values."""
+    edges = [2**e + d * 2**k for e in range(7, 62) for k in range(0, e, 5) for d in (-1, 0, 1)]
+    values = sorted({*edges, *[-v for v in edges], 0, -1, 2**63 - 1, -(2**63)})
+    df = spark.createDataFrame([(v,) for v in values], "value bigint")
+    rows = percentiles.with_part(percentiles.with_bucket(df)).orderBy("value").collect()
+    parts = [r.part for r in rows]
+    assert parts == sorted(parts) and all(r.bucket <= r.part <= r.value for r in rows)
+    assert all(r.value - r.part < 2**29 for r in rows)
+    near = [r for r in rows if 2**49 <= r.value < 2**51]
+    assert all(r.value - r.part < 2**22 and (r.part - r.bucket) % 2**21 == 0 for r in near)
+    assert all(r.part == r.bucket for r in rows if abs(r.value) < 2**19)
+
+
+def test_a_wide_bucket_passes_on_only_the_parts_that_hold_a_wanted_rank(spark):
+    df = spark.range(50_000).select(F.lit("g").alias("g"), (F.lit(2**50) + F.col("id") * 2**23).alias("value"))
+    kept = percentiles.with_bucket(df).withColumns(
+        {"rows": F.lit(1).cast("bigint"), "rows_before": F.lit(0).cast("bigint"),
+         "value_count": F.lit(50_000).cast("bigint"), "value_mean": F.lit(0.0)}
+    )
+    left = percentiles._narrowed(kept, ["g"], {"p50": 0.5}).collect()
+    assert kept.select("bucket").distinct().count() == 1
+    assert sorted(r.value for r in left) == [2**50 + 24_999 * 2**23, 2**50 + 25_000 * 2**23]
+    assert sorted(r.rows_before for r in left) == [24_999, 25_000]
+
+
 def jobs(spark):
     return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
 

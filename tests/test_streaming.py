@@ -103,6 +103,14 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert table.count() == 4 and {(r.ingest_query, r.ingest_batch) for r in table.collect()} == {("q", 5)}
 
 
+def test_a_batch_writes_few_files_a_date(spark, tmp_path):
+    put(tmp_path, "a.json", *[{"level": "INFO", "timeMillis": 1704067200000 + i % 3 * 86_400_000} for i in range(400)])
+    df = normalize(read_feed(spark, AUDIT, str(tmp_path / "in")), AUDIT).repartition(16)
+    save_batch(df, str(tmp_path / "t"), "q", 0)
+    assert len(list((tmp_path / "t").glob("*/*/*.parquet"))) == 3
+    assert scan(spark, str(tmp_path / "t")).count() == 400
+
+
 def test_an_ingested_table_can_be_compacted_trimmed_and_go_on(spark, tmp_path):
     from datetime import datetime
 

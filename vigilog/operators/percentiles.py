@@ -15,8 +15,10 @@ and slices). Then only the counts are spread; each row is matched once with the
 that need its bucket.
 
 Nothing runs while the plan is built, and adaptive execution chooses the joins. A task orders the
-distinct values of one bucket of one group: all there are below 2^7, 8192 for milliseconds up to 17
-minutes, and up to 2^(n-7) of them for values around 2^n.
+distinct values of one narrowed bucket of one group: all there are below 2^7, 8192 for milliseconds up
+to 17 minutes. A bucket of more than 2^13 values, around 2^20 and above, is cut into parts of half its
+binary digits, of which only those with a wanted rank go on. So around 2^n a task orders at most
+2^((n-6)/2) values or parts, rounded up: 2^22 around 2^50.
 """
 
 from __future__ import annotations
@@ -29,30 +31,48 @@ from pyspark.sql import functions as F
 # Leading binary digits that name a bucket: a value below 2^7 has a bucket of its own, one
 # below 2^20 (17 minutes in milliseconds) shares it with at most 8191 other values.
 BUCKET_DIGITS = 7
+#: Buckets of more binary digits than these are narrowed before their values are ordered.
+ORDERED_DIGITS = 13
 
 
-def with_bucket(df: DataFrame) -> DataFrame:
-    """Adds ``bucket``: the lower bound of the bucket of ``value``.
+def _with_width(df: DataFrame, column: str, width: str) -> DataFrame:
+    """Adds the number of trailing binary digits that the bucket of a value leaves open.
 
-    The leading digits are kept and the others zeroed. It works for negative values too:
-    the shift rounds down, and ``~v`` is ``-v - 1``. The logarithm of a large number may
-    be off by one, so the exponent is corrected by comparing whole numbers.
+    A value and the bounds of its bucket have the same. It works for negative values too: ``~v``
+    is ``-v - 1``. The logarithm of a large number may be off by one, so the exponent is corrected
+    by comparing whole numbers.
     """
     guess = "CAST(least(floor(log2(magnitude)), 62) AS INT)"
     correction = """CASE WHEN shiftleft(1L, guess) > magnitude THEN -1
         WHEN guess < 62 AND shiftleft(1L, guess + 1) <= magnitude THEN 1 ELSE 0 END"""
     return (
-        df.withColumn("magnitude", F.greatest("value", F.bitwise_not("value"), F.lit(1)))
+        df.withColumn("magnitude", F.greatest(column, F.bitwise_not(column), F.lit(1)))
         .withColumn("guess", F.expr(guess))
-        .withColumn(
-            "dropped",
-            F.expr(f"greatest(guess + {correction} - {BUCKET_DIGITS - 1}, 0)"),
-        )
-        .withColumn("bucket", F.expr("shiftleft(shiftright(value, dropped), dropped)"))
-        .drop("magnitude", "guess", "dropped")
+        .withColumn(width, F.expr(f"greatest(guess + {correction} - {BUCKET_DIGITS - 1}, 0)"))
+        .drop("magnitude", "guess")
     )
 
 
+def with_bucket(df: DataFrame) -> DataFrame:
+    """Adds ``bucket``: the lower bound of the bucket of ``value``.
+
+    The leading digits are kept and the others zeroed; the shift rounds down.
+    """
+    wide = _with_width(df, "value", "width")
+    return wide.withColumn("bucket", F.expr("shiftleft(shiftright(value, width), width)")).drop("width")
+
+
+def with_part(df: DataFrame) -> DataFrame:
+    """Adds ``part``: the lower bound of the part of its bucket that ``value`` is in.
+
+    A part has half the bucket's binary digits, rounded up; narrow buckets are one part.
+    """
+    digits = f"IF(width > {ORDERED_DIGITS}, CAST(ceil(width / 2) AS INT), width)"
+    wide = _with_width(df, "bucket", "width").withColumn("digits", F.expr(digits))
+    part = "bucket + shiftleft(shiftright(value - bucket, digits), digits)"
+    return wide.withColumn("part", F.expr(part)).drop("width", "digits")
+
+
 def _same(keys: list[str], left: str, right: str) -> Column:
     """Keys may be NULL, hence the null-safe comparison of every one."""
     condition = F.lit(True)
@@ -89,11 +109,41 @@ def _wanted_buckets(
             ),
         )
     )
+    return histogram.filter(_holds_any(fractions)).drop("bucket_rows")
+
+
+def _holds_any(fractions: dict[str, float]) -> Column:
     wanted = F.lit(False)
     for fraction in fractions.values():
         for rank in (F.floor(_position(fraction)), F.ceil(_position(fraction))):
             wanted = wanted | _holds(rank, "rows_before", "bucket_rows")
-    return histogram.filter(wanted).drop("bucket_rows")
+    return wanted
+
+
+def _narrowed(kept: DataFrame, names: list[str], fractions: dict[str, float]) -> DataFrame:
+    """The values in the parts of their buckets that hold a wanted rank, with the rows before a part."""
+    parted = with_part(kept)
+    earlier = (
+        Window.partitionBy(*names, "bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    parts = (
+        parted.groupBy(*names, "bucket", "part")
+        .agg(
+            F.sum("rows").alias("bucket_rows"),
+            F.max("rows_before").alias("rows_before"),
+            F.max("value_count").alias("value_count"),
+        )
+        .withColumn("rows_before", F.col("rows_before") + F.coalesce(F.sum("bucket_rows").over(earlier), F.lit(0)))
+        .filter(_holds_any(fractions))
+    )
+    return (
+        parted.alias("v")
+        .join(parts.alias("p"), _same([*names, "part"], "v", "p"))
+        .select(
+            *[F.col(f"v.{c}") for c in [*names, "part", "value", "rows", "value_count", "value_mean"]],
+            "p.rows_before",
+        )
+    )
 
 
 def exact_percentiles(
@@ -155,8 +205,9 @@ def exact_percentiles(
         .groupBy(*names, "bucket", "value")
         .agg(F.sum("rows").alias("rows"), *[F.max(fact).alias(fact) for fact in facts])
     )
+    kept = _narrowed(kept, names, fractions)
     smaller = (
-        Window.partitionBy(*names, "bucket")
+        Window.partitionBy(*names, "part")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -867,6 +867,7 @@ ORACLE: dict[str, str] = {
     "stream_ingest_audit": _over_audit("SELECT * FROM audit"),
     "stream_ingest_track": _over_track("SELECT * FROM track_mdc"),
     "stream_ingest_track_ctx": _over_track("SELECT * FROM track_ctx"),
+    "stream_written_feed": _over_audit("SELECT * FROM audit"),
     "stream_rescue": _over_audit(
         """SELECT conversation_id, conversation_id AS added, '[1,"x"]' AS message_added, 2::BIGINT AS n_unknown
         FROM audit WHERE conversation_id IS NOT NULL"""

@@ -30,7 +30,8 @@ from vigilog.operators.profiles import (
 from vigilog.plans import dashboards, detection, maintenance, monitoring
 from vigilog.session import fresh_path, pin_utc
 from vigilog.registry import event_views, raw_views
-from vigilog.sources.json_feeds import parse_lines, split_corrupt, write_lines
+from vigilog.schemas import CORRUPT, RAW_SCHEMAS
+from vigilog.sources.json_feeds import parse_lines, split_corrupt, write_feed, write_lines
 from vigilog.sources.tables import (
     DETECTED_DATE,
     LOG_DATE,
@@ -516,6 +517,24 @@ def _ingest_twice(
     return table, good
 
 
+def stream_written_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written as a feed in two batches, and ingested by a stream with a trigger."""
+    source, table = fresh_path(spark, "written-files"), fresh_path(spark, "written-table")
+    lines = raw_views.feed_lines(_events(spark, sf_dir), AUDIT)
+    records, _ = split_corrupt(parse_lines(lines, AUDIT, F.col("value")), AUDIT)
+    records = records.select(*RAW_SCHEMAS[AUDIT].fieldNames()).drop(CORRUPT)
+    half = F.pmod(F.xxhash64("timeMillis", "message.ConversationId"), F.lit(2))
+    write_feed(records.filter(half == 0).repartition(MAX_FILES + 2), source)
+    stream = start_ingest(spark, "bpm_audit", source, table, fresh_path(spark, "written-checkpoint"), trigger="1 second")
+    try:
+        stream.processAllAvailable()
+        write_feed(records.filter(half == 1).repartition(2), source)
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return comparable(scan(spark, table).select(*AUDIT_COLUMNS))
+
+
 def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed that begins to send two fields more: what the log table has of them."""
     source, table = fresh_path(spark, "rescue-files"), fresh_path(spark, "rescue-table")
@@ -704,6 +723,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_track_ctx": _ingested(
         "m2e_perf", TRACK_CTX, *TRACK_COLUMNS, *FAULT_COLUMNS
     ),
+    "stream_written_feed": stream_written_feed,
     "stream_rescue": stream_rescue,
     "retention": retention,
     "compaction": compaction,

@@ -29,7 +29,7 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append a feed to its log table.
 
-    A map-only job per micro-batch. Each batch writes a folder of its own below each date,
+    Rows of a micro-batch are shuffled once, to write few files. Each batch writes a folder of its own below each date,
     named by the stream's id (kept in its checkpoint) and the batch's number, so a batch that
     is repeated after a failure replaces itself. The table keeps no log of its files: it can be
     compacted, trimmed and read like any other. ``trigger=None`` takes everything that is there,
@@ -58,7 +58,11 @@ def start_ingest(
 
 
 def save_batch(batch: DataFrame, table: str, stream: str, number: int) -> None:
-    """Write one batch; the same batch again replaces its rows."""
+    """Write one batch; the same batch again replaces its rows.
+
+    Rows are gathered by date first, or every task would write a file for every date. REBALANCE
+    merges small dates' parts and splits a date that holds most of the batch.
+    """
     tagged = batch.withColumns(
         {
             INGEST_QUERY: F.lit(stream),
@@ -67,7 +71,8 @@ def save_batch(batch: DataFrame, table: str, stream: str, number: int) -> None:
         }
     )
     (
-        tagged.write.mode("overwrite")
+        tagged.hint("rebalance", LOG_DATE)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOG_DATE, LOG_BATCH)
         .parquet(table)
