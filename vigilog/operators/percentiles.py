@@ -35,42 +35,41 @@ BUCKET_DIGITS = 7
 ORDERED_DIGITS = 13
 
 
-def _with_width(df: DataFrame, column: str, width: str) -> DataFrame:
-    """Adds the number of trailing binary digits that the bucket of a value leaves open.
+def with_bucket(df: DataFrame) -> DataFrame:
+    """Adds ``bucket``: the lower bound of the bucket of ``value``.
 
-    A value and the bounds of its bucket have the same. It works for negative values too: ``~v``
-    is ``-v - 1``. The logarithm of a large number may be off by one, so the exponent is corrected
-    by comparing whole numbers.
+    The leading digits are kept and the others zeroed. It works for negative values too:
+    the shift rounds down, and ``~v`` is ``-v - 1``. The logarithm of a large number may
+    be off by one, so the exponent is corrected by comparing whole numbers.
     """
     guess = "CAST(least(floor(log2(magnitude)), 62) AS INT)"
     correction = """CASE WHEN shiftleft(1L, guess) > magnitude THEN -1
         WHEN guess < 62 AND shiftleft(1L, guess + 1) <= magnitude THEN 1 ELSE 0 END"""
     return (
-        df.withColumn("magnitude", F.greatest(column, F.bitwise_not(column), F.lit(1)))
+        df.withColumn("magnitude", F.greatest("value", F.bitwise_not("value"), F.lit(1)))
         .withColumn("guess", F.expr(guess))
-        .withColumn(width, F.expr(f"greatest(guess + {correction} - {BUCKET_DIGITS - 1}, 0)"))
-        .drop("magnitude", "guess")
+        .withColumn(
+            "dropped",
+            F.expr(f"greatest(guess + {correction} - {BUCKET_DIGITS - 1}, 0)"),
+        )
+        .withColumn("bucket", F.expr("shiftleft(shiftright(value, dropped), dropped)"))
+        .drop("magnitude", "guess", "dropped")
     )
 
 
-def with_bucket(df: DataFrame) -> DataFrame:
-    """Adds ``bucket``: the lower bound of the bucket of ``value``.
-
-    The leading digits are kept and the others zeroed; the shift rounds down.
-    """
-    wide = _with_width(df, "value", "width")
-    return wide.withColumn("bucket", F.expr("shiftleft(shiftright(value, width), width)")).drop("width")
-
-
 def with_part(df: DataFrame) -> DataFrame:
     """Adds ``part``: the lower bound of the part of its bucket that ``value`` is in.
 
-    A part has half the bucket's binary digits, rounded up; narrow buckets are one part.
+    A part has half the bucket's open binary digits, rounded up; narrow buckets are one part.
     """
-    digits = f"IF(width > {ORDERED_DIGITS}, CAST(ceil(width / 2) AS INT), width)"
-    wide = _with_width(df, "bucket", "width").withColumn("digits", F.expr(digits))
-    part = "bucket + shiftleft(shiftright(value - bucket, digits), digits)"
-    return wide.withColumn("part", F.expr(part)).drop("width", "digits")
+    # The bounds of a bucket have as many digits as its values.
+    width = f"length(bin(greatest(bucket, ~bucket, 1L))) - {BUCKET_DIGITS}"
+    digits = f"IF({width} > {ORDERED_DIGITS}, shiftright({width} + 1, 1), {ORDERED_DIGITS})"
+    return (
+        df.withColumn("digits", F.expr(digits))
+        .withColumn("part", F.expr("bucket + shiftleft(shiftright(value - bucket, digits), digits)"))
+        .drop("digits")
+    )
 
 
 def _same(keys: list[str], left: str, right: str) -> Column:
