@@ -37,6 +37,8 @@ NARROW = np.dtype("<u4")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_ROWS = 2000
 LEAST_BLOCKS = 64
+#: Bounds the cuts between blocks, which reach the driver and every task: eight bytes each.
+MOST_BLOCKS = 100_000
 
 
 def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -174,13 +176,14 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     Rows are dealt by ranges of doc_id into blocks. The first document of a block is lent to the
     block before (the first of all to the last block), where it is not ``own``. Ranges follow
-    quantiles of doc_id, so a task holds about ``BLOCK_ROWS`` rows however many there are.
+    quantiles of doc_id, so blocks are about equal: of ``BLOCK_ROWS`` rows, of more only where
+    ``MOST_BLOCKS`` are not enough. Neighbouring blocks share a task, the same number in each.
     """
     rows = docs.select("doc_id", text_of().alias("text"))
     low = F.lit(-(2**63))
     order = F.coalesce(F.col("doc_id").cast("bigint"), low)
     total = rows.count()
-    blocks = max(LEAST_BLOCKS, total // BLOCK_ROWS)
+    blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, total // BLOCK_ROWS))
     shares = [n / blocks for n in range(1, blocks)]
     found = rows.agg(
         F.min(order).alias("first"), F.percentile_approx(order, shares, max(10_000, 10 * blocks)).alias("cuts")
@@ -199,6 +202,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         return pd.Series(cuts[at] == ids.to_numpy() if len(cuts) else np.zeros(len(ids), bool))
 
     last = len(cuts)
+    tasks = -(-(last + 1) // 4)
     placed = rows.withColumn("id", order).withColumn("block", block_of("id"))
     own = F.struct("block", F.lit(True).alias("own"), F.lit(0).alias("turn"))
     lent = F.struct((F.col("block") - 1).alias("block"), F.lit(False).alias("own"), F.lit(0).alias("turn"))
@@ -207,7 +211,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     return (
         placed.withColumn("copy", F.explode(copies))
         .select("copy.*", "id", "doc_id", "text", hash128(F.col("text")).alias("tie"))
-        .repartition(max(1, blocks // 4), "block")
+        .repartitionById(tasks, F.shiftright("block", 2))
         .sortWithinPartitions("block", "turn", "id", F.desc("own"), "tie")
         .select("block", "own", "doc_id", "text")
     )
@@ -222,6 +226,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, next_contained (share of the next document's shingles found in this one).
 
+    Texts of any length are fingerprinted whole; a task holds two of them and their sketches.
     Null texts are empty. Null doc_ids come first; rows with equal doc_ids follow each other in
     the order of their texts' hashes, and repeated rows stay. A lone document is its own next. An
     empty table gives an empty result. Other columns of ``docs`` are not read.
