@@ -122,7 +122,7 @@ def test_chat_orders_ties_and_closes_conversations(spark):
     ]
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     made = chat.examples(turns)
-    full = {(r.conv_id, r.example): r for r in chat.full_texts(made).collect()}
+    full = {(r.conv_id, r.example): r for r in made.collect()}
     assert [full[1, n].target for n in range(3)] == [1, 2, None] and full[2, 0].target is None
     for r in full.values():
         assert r.chars == len(r.text)
@@ -194,6 +194,98 @@ def test_links_are_decoded_resolved_by_scheme_and_read_from_markup_only(spark):
     assert found == {"1": "block", "3": "allow"}
 
 
+def test_the_sql_follows_links_like_the_operator(spark, tmp_path):
+    import duckdb
+
+    from vigilog.llm.oracle import URL_FILTER
+    from vigilog.llm.queries import QUERIES
+
+    link = "<link rel=canonical href='{}'>".format
+    pages = [
+        ("http://a.net/1", link("http://x.com/de/p?a=1&amp;b=2")), ("http://a.net/2", link("/go?u=http://x.com/de/")),
+        ("http://a.net/3", f"<!-- {link('http://x.com/de/')} --><SCRIPT>{link('http://x.com/de/')}</script >"),
+        ("http://a.net/4", link("http&colon;//x.com/d&#101;/")), ("http://a.net/5", link("http://x.com/&#x64;e/")),
+        ("http://a.net/6", "<meta http-equiv=refresh content='0; url=//x.com/de/'>"), ("http://a.net/7", link("/8")),
+        ("http://a.net/8", link("http://x.com/fr/")), ("http://a.net/9", f"<!-->{link('http://x.com/de/')}"),
+        ("http://a.net/10", link("http://x.com/&#55296;&nosuch;&#0;de/")), (None, link("/8")), ("", None), ("http://a.net/11", None),
+        ("http://a.net/1", link("http://x.com/de/p?a=1&amp;b=2")), ("http://A.net/" + "long/" * 100_000, link("../x")),
+    ]
+    rows = spark.createDataFrame([(n, *p) for n, p in enumerate(pages)], "page_id bigint, url string, html string")
+    rows.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["op6_url_filter"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    expected = {r[0]: tuple(r[1:]) for r in con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({URL_FILTER})").fetchall()}
+    assert {r.page_id: tuple(r)[1:] for r in found.collect()} == expected
+    assert [n for n in sorted(expected) if expected[n][3] == "block"] == [0, 3, 4, 5, 8, 13]
+
+
+def test_chat_with_clashing_columns_and_a_very_long_text(spark):
+    rows = [(1, 0, "user", LONG), (1, 1, "assistant", LONG + "<|"), (1, 1, "assistant", LONG + "<|")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    clashing = turns.withColumns({c: F.lit("clash") for c in ("example", "target", "chars", "loss_start", "n_turns")})
+    plain, other = (chat.read_back(chat.examples(t)).collect() for t in (turns, clashing))
+    assert plain == other and (plain[0].n_turns, plain[0].loss_chars) == (3, 2 * len(LONG) + 4)
+
+
+def test_neighbours_across_blocks_and_tasks(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BLOCK_ROWS", 10)
+    rows = [(n * n - 50, f"text of number {n} " * (n % 7 + 1)) for n in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    for most in (100_000, 64):
+        monkeypatch.setattr(fingerprint, "MOST_BLOCKS", most)
+        found = {r.doc_id: r for r in fingerprint.edited_fingerprints(docs).collect()}
+        assert len(found) == 1300
+        for (doc_id, text), (_, after) in zip(rows, [*rows[1:], rows[0]], strict=True):
+            cut = len(text) // 4
+            edited = fingerprint.sketch(text[: len(text) - cut] + after[:cut])
+            assert found[doc_id].edited_fingerprint == fingerprint.to_text(edited)
+
+
+@pytest.fixture(scope="module")
+def stage_tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stages")
+    labels = [(n, n % 2, 0) for n in range(100, 140)]
+    spark.createDataFrame([*labels, (None, 1, None)], LABELS).coalesce(1).write.parquet(f"{folder}/labels.parquet")
+    items = [(1, "Which of these ten questions has been answered wrongly by the whole class? " * 3), (2, None)]
+    spark.createDataFrame(items, ITEMS).coalesce(1).write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder), items[0][1]
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, stage_tables):
+    """Columns that are called like those of an operator keep their values, and rows their number."""
+    import corpus_pipeline
+
+    folder, passage = stage_tables
+    own = docs.drop("text_a").withColumn("piece", F.lit("clash"))
+    labelled = [(n, ("good words " if n % 2 else "junk ### ") * 20, "en", "s", n) for n in range(100, 140)]
+    leak = [(200, passage, "en", "s", 1), (200, passage, "en", "s", 1), (None, passage, None, None, None)]
+    more = spark.createDataFrame([*labelled, *leak], DDL)
+    for name in own.columns[5:]:
+        more = more.withColumn(name, F.lit("clash"))
+    rows = own.unionByName(more)
+    out = {name: stage(spark, rows, folder) for name, stage in corpus_pipeline.STAGES}
+    for name in list(out)[:-1]:
+        assert out[name].columns == rows.columns
+        assert {r[0] for r in out[name].select(own.columns[-1]).distinct().collect()} == {"clash"}
+    texts = {name: [(r.doc_id, r.text) for r in out[name].collect()] for name in list(out)[:-1]}
+    assert len(texts["line_dedup"]) == rows.count() and texts["line_dedup"].count((200, passage)) == 2
+    left = texts["decontaminate"]
+    assert len(left) == rows.count() - 3 and all(t != passage for _, t in left) and left.count((None, None)) == 1
+    kept = texts["near_dedup"]
+    assert sum(t == passage for _, t in kept) == 1 and sum(t is None for _, t in kept) == 2
+    assert sum(t == LONG for _, t in kept) == 1 and sum((t or "").startswith("One two") for _, t in kept) == 1
+    assert all(n % 2 for n, _ in texts["quality"] if n and 100 <= n < 140)
+    pieces = out["packing"].groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in rows.select("doc_id").distinct().collect()}
+
+
+def test_pipeline_stages_on_an_empty_table(spark, empty, stage_tables):
+    import corpus_pipeline
+
+    assert all(stage(spark, empty, stage_tables[0]).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
 def test_url_queries_run_no_python(spark):
     from helpers import plan_of
 

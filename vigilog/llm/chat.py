@@ -73,6 +73,7 @@ def examples(turns: DataFrame) -> DataFrame:
     Null texts and roles are empty. Turns go by turn (null first); rows with the same turn by role
     and text, and repeated rows stay. Rows without conv_id are one conversation. An empty
     assistant text is an example with an empty loss span. An empty table gives an empty result.
+    Texts of any length are written whole; a task holds one example's text at a time.
     """
     key = turns.schema["conv_id"].dataType.simpleString()
 
@@ -126,11 +127,6 @@ def examples(turns: DataFrame) -> DataFrame:
     )
 
 
-def full_texts(made: DataFrame) -> DataFrame:
-    """``made`` as it is: ``examples`` writes every text in full."""
-    return made
-
-
 def read_back(made: DataFrame) -> DataFrame:
     """Digests of conversations, from the full texts of ``examples`` and the masks in them.
 

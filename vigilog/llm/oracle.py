@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vigilog.llm.url_filter import NAMED, REFERENCES
+
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WHITE = r"E' \t\n\x0b\x0c\r'"
 
@@ -23,13 +25,26 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
 FROM keyed GROUP BY i
 """
 
+# Comments, and elements whose content is text: this SQL's patterns know no back references.
+_TEXT_ONLY = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
+NO_MARKUP = r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))" + "".join(
+    rf"|<{name}[\s/>].*?(?:</{name}[\s/>]|\z)" for name in _TEXT_ONLY
+)
+_QUOTED = {name: sign.replace("'", "''") for name, sign in NAMED.items()}
+_NAMED = "MAP {" + ", ".join(f"'{name}': '{sign}'" for name, sign in _QUOTED.items()) + "}"
+_CODE = r"""coalesce(try_cast(regexp_extract(part, '^&#([0-9]+);$', 1) AS INTEGER),
+    try_cast('0x' || regexp_extract(part, '^&#[xX]0*([0-9a-fA-F]+);$', 1) AS INTEGER))"""
+DECODED = f"""array_to_string(list_transform(regexp_extract_all(target, '{REFERENCES}'), lambda part: CASE
+    WHEN {_CODE} BETWEEN 1 AND 1114111 AND {_CODE} NOT BETWEEN 55296 AND 57343 THEN chr({_CODE})
+    ELSE coalesce({_NAMED}[regexp_extract(part, '^&([a-zA-Z]+);$', 1)], part) END), '')"""
+
 # Links between urls, the urls that a chain of links joins, and the decisions of their rules.
 URL_FILTER = rf"""
 WITH RECURSIVE rules(host, path, verdict) AS (VALUES
     ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
     ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
 ), tags AS (
-    SELECT url, unnest(regexp_extract_all(html,
+    SELECT url, unnest(regexp_extract_all(regexp_replace(html, '{NO_MARKUP}', ' ', 'g'),
         '(?i)<(?:link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*|meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*)>')) AS tag
     FROM pages
 ), targets AS (
@@ -38,12 +53,14 @@ WITH RECURSIVE rules(host, path, verdict) AS (VALUES
         regexp_extract(url, '://([^/?#]*)', 1) AS host,
         regexp_replace(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '[^/]*$', '') AS folder
     FROM tags WHERE contains(url, '://')
+), decoded AS (
+    SELECT * REPLACE ({DECODED} AS target) FROM targets
 ), raw_edges AS (
-    SELECT url AS src, CASE WHEN contains(target, '://') THEN target
+    SELECT url AS src, CASE WHEN regexp_matches(target, '(?i)^[a-z][a-z0-9+.\-]*://') THEN target
         WHEN starts_with(target, '//') THEN split_part(base, '//', 1) || target
         WHEN starts_with(target, '/') THEN base || host || target
         ELSE base || host || CASE folder WHEN '' THEN '/' ELSE folder END || target END AS dst
-    FROM targets WHERE target <> ''
+    FROM decoded WHERE target <> ''
 ), nodes AS (
     SELECT url, {LOWER.format("regexp_extract(url, '://([^/?#]*)', 1)")} AS host,
         regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path,

@@ -215,8 +215,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) -> D
     Columns: doc_id, piece, start, length, ids_crc32 (little-endian unsigned 32-bit ids),
     sequence_id, offset; ids too if ``with_ids``.
 
-    A null or empty text is a document of the end id alone. Repeated rows and null or repeated
-    doc_ids are documents of their own. An empty table gives an empty result.
+    A null or empty text is a document of the end id alone. A text of any length is tokenised whole
+    and cut into pieces. Repeated rows and null or repeated doc_ids are documents of their own;
+    pieces of equal length may change places. An empty table gives an empty result.
     """
     pieces = materialize(tokenize(docs, capacity, with_ids), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}

@@ -142,8 +142,9 @@ def judge(urls: DataFrame, edges: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add host, path, rule and verdict to ``urls`` (a column ``url``, any others).
 
     ``edges`` (src, dst) are redirects and canonical links between urls. Null urls have empty
-    host and path and the verdict allow. Repeated rows each get their verdict; empty inputs give
-    an empty result. Columns of ``urls`` named like a result column are replaced.
+    host and path and the verdict allow; an empty url is one without ``://``. Urls of any length are
+    judged whole. Repeated rows each get their verdict; empty inputs give an empty result. Columns of
+    ``urls`` named like a result column are replaced.
     """
     ends = edges.select(node_of(F.col("src")).alias("src"), node_of(F.col("dst")).alias("dst"))
     ends = materialize(ends.filter("src <> '' and dst <> '' and src <> dst").distinct(), "links")
