@@ -269,6 +269,24 @@ def test_a_refresh_from_state_reads_new_batches_only(spark, tmp_path):
     assert {f: f.stat().st_mtime_ns for f in (tmp_path / "profile").glob("*/*.parquet")} == before
 
 
+def test_the_plan_of_a_refresh_does_not_repeat_its_state(spark, tmp_path, monkeypatch):
+    """The driver holds a plan once for every step of adaptive execution, so plans have to be small."""
+    from vigilog.session import Files, shared_root
+
+    def copies():
+        return set(Files(spark, app).folders(app))
+
+    app = f"{shared_root(spark)}/vigilog/{spark.sparkContext.applicationId}"
+    plans, store, known = [], monitoring.store_profile, copies()
+    monkeypatch.setattr(monitoring, "store_profile", lambda rows, to: plans.append(plan_of(rows, "simple")) or store(rows, to))
+    table, path = str(tmp_path / "logs"), str(tmp_path / "profile")
+    batches(spark, table, (0, [(ago(hours=h), "a", False, h) for h in range(0, 60, 5)]))
+    monitoring.refresh_from_state(spark, table, STATE_MONITOR, path)
+    # The base rows, and the kept values twice.
+    assert plans[0].count("FileScan parquet") == 3
+    assert same_as_whole(spark, table, path) and copies() == known
+
+
 def test_a_failed_refresh_is_made_good_by_the_next(spark, tmp_path, monkeypatch):
     table, path = str(tmp_path / "logs"), str(tmp_path / "profile")
     batches(spark, table, (0, [(ago(hours=h), "a", False, h) for h in range(0, 60, 5)]))

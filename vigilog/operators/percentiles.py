@@ -14,7 +14,10 @@ Rows may be counted in fine cells that are later spread over many groups (hours
 and slices). Then only the counts are spread; each row is matched once with the groups
 that need its bucket.
 
-Nothing runs while the plan is built, and adaptive execution chooses the joins. A task orders the
+Nothing runs while the plan is built, and adaptive execution chooses the joins. A caller that runs
+jobs anyway may have the intermediate results written once (``keep``): without it the plan holds the
+plan of the values six times, and the driver keeps all of it with every step of adaptive execution.
+A task orders the
 distinct values of one narrowed bucket of one group: all there are below 2^7, 8192 for milliseconds up
 to 17 minutes. A bucket of more than 2^13 values, around 2^20 and above, is cut into parts of half its
 binary digits, of which only those with a wanted rank go on. So around 2^n a task orders at most
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 # Leading binary digits that name a bucket: a value below 2^7 has a bucket of its own, one
 # below 2^20 (17 minutes in milliseconds) shares it with at most 8191 other values.
 BUCKET_DIGITS = 7
+#: Stores a result under a name and reads it back.
+Keep = Callable[[DataFrame, str], DataFrame]
 #: Buckets of more binary digits than these are narrowed before their values are ordered.
 ORDERED_DIGITS = 13
 
@@ -153,14 +158,16 @@ def exact_percentiles(
     spread: Callable[[DataFrame], DataFrame] | None = None,
     groups: list[str] | None = None,
     weight: str | None = None,
+    keep: Keep | None = None,
 ) -> DataFrame:
     """Per group: ``value_count``, ``value_mean`` and one column per named fraction.
 
     ``value`` is an integer column; NULLs do not count. A row stands for as many as its column
     ``weight`` says, where one is named. Groups are the ``keys``, unless
     ``spread`` turns a row with the keys into one row per group, with columns ``groups``.
+    ``keep`` stores a named intermediate result and reads it back.
     """
-    groups = groups or keys
+    groups, keep = groups or keys, keep or (lambda rows, _: rows)
     rows = with_bucket(
         df.filter(F.col(value).isNotNull()).select(
             *keys,
@@ -171,7 +178,7 @@ def exact_percentiles(
     # Equal values are counted once, before anything is shuffled or joined. Both passes read
     # this one exchange.
     number = F.count(F.lit(1)) if weight is None else F.sum("weight")
-    counted = rows.groupBy(*keys, "bucket", "value").agg(number.alias("rows"))
+    counted = keep(rows.groupBy(*keys, "bucket", "value").agg(number.alias("rows")), "counted-values")
     cells = counted.groupBy(*keys, "bucket").agg(
         F.sum(F.col("value").cast("double") * F.col("rows")).alias("total"),
         F.sum("rows").alias("rows"),
@@ -195,6 +202,7 @@ def exact_percentiles(
             )
         )
 
+    wanted = keep(wanted, "wanted-buckets")
     names = list(named.values())
     extra = [name for name in names if name not in keys]
     kept = (
@@ -204,7 +212,7 @@ def exact_percentiles(
         .groupBy(*names, "bucket", "value")
         .agg(F.sum("rows").alias("rows"), *[F.max(fact).alias(fact) for fact in facts])
     )
-    kept = _narrowed(kept, names, fractions)
+    kept = _narrowed(keep(kept, "kept-values"), names, fractions)
     smaller = (
         Window.partitionBy(*names, "part")
         .orderBy("value")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilog.functions import times
-from vigilog.operators.percentiles import exact_percentiles
+from vigilog.operators.percentiles import Keep, exact_percentiles
 
 GRANULARITIES = ("1 hour", "1 day")
 PROFILE_KEYS = ["granularity", "window_start", "window_seconds", "slice_key", "slice_value"]
@@ -214,6 +214,7 @@ def _from_parts(
     metrics: list[Metric],
     slices: list[str],
     granularities: tuple[str, ...],
+    keep: Keep | None = None,
 ) -> DataFrame:
     """Profile rows from base rows and the measured cells of each percentile's column."""
     result = (
@@ -233,6 +234,7 @@ def _from_parts(
             spread=lambda counts: _fan_out(counts, "_moment", granularities, slices),
             groups=PROFILE_KEYS,
             weight=weight,
+            keep=keep,
         )
         result = _attach(result, measured, list(fractions))
     return result
@@ -335,14 +337,18 @@ def profile_from_state(
     metrics: list[Metric],
     slices: list[str],
     granularities: tuple[str, ...] = GRANULARITIES,
+    keep: Keep | None = None,
 ) -> DataFrame:
-    """The same rows as ``profile`` of the rows that the state is made from."""
+    """The same rows as ``profile`` of the rows that the state is made from.
+
+    ``keep`` stores what the percentiles need between their passes, see ``exact_percentiles``.
+    """
     base = state.filter(F.col(KIND) == BASE)
     cells = {
         column: state.filter(F.col(KIND) == column).select("_moment", *slices, "_measured", "_rows")
         for column in _measured_columns(metrics)
     }
-    result = _from_parts(base, cells, "_rows", metrics, slices, granularities)
+    result = _from_parts(base, cells, "_rows", metrics, slices, granularities, keep)
     return _shaped(result, metrics)
 
 

@@ -26,7 +26,7 @@ from vigilog.operators.profiles import (
     total,
 )
 from vigilog.plans.maintenance import broadcast_few, newest_batches
-from vigilog.session import Files, materialize
+from vigilog.session import Files, materialize, scratch
 from vigilog.sources.tables import INGEST_BATCH, INGEST_QUERY, LOG_DATE, replace_dates, scan
 from vigilog.sources.versions import (
     MARK,
@@ -240,8 +240,13 @@ def refresh_from_state(spark: SparkSession, table: str, monitor: Monitor, path:
     The state switches versions together with the notes of what it has seen, so a failure neither
     loses a batch nor counts one twice; days whose profile was not stored any more are renewed by
     the next refresh. What retention takes from the log table stays in the profile. One refresh of a
-    table runs at a time; a second one fails with ``Conflict``.
+    table runs at a time; a second one fails with ``Conflict``. Its intermediate copies are deleted.
     """
+    with scratch(spark):
+        return _refreshed(spark, table, monitor, path)
+
+
+def _refreshed(spark: SparkSession, table: str, monitor: Monitor, path: str) -> list[str]:
     store, metrics, slices = _state_path(path), list(monitor.metrics), list(monitor.slices)
     before = begin(spark, store)
     rows, rewritten = unseen_rows(spark, table, before.notes)
@@ -269,7 +274,7 @@ def refresh_from_state(spark: SparkSession, table: str, monitor: Monitor, path:
     now = read_state(spark, store)
     current = read_items(spark, store, [i for i in live_items(spark, store, now) if i.date.partition("=")[2] in days])
     if current is not None:
-        store_profile(profile_from_state(current, metrics, slices), path)
+        store_profile(profile_from_state(current, metrics, slices, keep=materialize), path)
     commit(spark, store, [], [], on=now, notes=now.notes | {"stale": []})
     return sorted(days)
 
