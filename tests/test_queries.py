@@ -91,3 +91,22 @@ def test_the_views_have_the_disturbances(spark):
     events = read_events(spark, SF_DIR)
     assert log_events(events).count() == 1059
     assert audit_logs(events).count() == track_logs(events).count() == 1059
+
+
+@pytest.mark.parametrize("name", ["stream_ingest_track"])
+def test_events_are_dealt_to_all_cores_before_they_become_lines(spark, monkeypatch, name):
+    """A file of one row group is read by one task, which must not make all lines."""
+
+    class Seen(Exception):
+        pass
+
+    def seen(lines, path):
+        plan = lines._jdf.queryExecution().optimizedPlan().toString()
+        raise Seen(lines.rdd.getNumPartitions(), *plan.split("Repartition", 1))
+
+    monkeypatch.setattr(registered, "write_lines", seen)
+    with pytest.raises(Seen) as found:
+        QUERIES[name](spark, SF_DIR)
+    parts, made, dealt = found.value.args
+    assert parts >= spark.sparkContext.defaultParallelism
+    assert "not json" in made and "not json" not in dealt

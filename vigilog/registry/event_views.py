@@ -23,6 +23,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(events: DataFrame, parts: int) -> DataFrame:
+    """The same rows in parts for all cores, for what costs many times their shuffle.
+
+    A file is read by as many tasks as it has row groups, which may be one.
+    """
+    return events.repartition(max(parts, events.sparkSession.sparkContext.defaultParallelism), "event_id")
+
+
 def log_events(events: DataFrame) -> DataFrame:
     zoneless = is_zoneless(events, "ts")
     kind = F.col("event_type")
