@@ -93,7 +93,7 @@ def test_the_views_have_the_disturbances(spark):
     assert audit_logs(events).count() == track_logs(events).count() == 1059
 
 
-@pytest.mark.parametrize("name", ["stream_ingest_track"])
+@pytest.mark.parametrize("name", ["stream_ingest_track", "stream_rescue"])
 def test_events_are_dealt_to_all_cores_before_they_become_lines(spark, monkeypatch, name):
     """A file of one row group is read by one task, which must not make all lines."""
 

@@ -540,11 +540,11 @@ def stream_written_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed that begins to send two fields more: what the log table has of them."""
     source, table = fresh_path(spark, "rescue-files"), fresh_path(spark, "rescue-table")
-    lines = raw_views.feed_lines(_events(spark, sf_dir), AUDIT)
+    lines = raw_views.feed_lines(event_views.spread(_events(spark, sf_dir), 4), AUDIT)
     own = F.get_json_object("value", "$.message.ConversationId")
     added = F.concat(F.lit('{"added":{"of":"'), own, F.lit('"},'), F.substring("value", 2, 2**31 - 1))
     added = F.regexp_replace(added, r'"message":\{', '"message":{"Added":[1,"x"],')
-    write_lines(lines.select(F.coalesce(added, "value").alias("value")).repartition(4), source)
+    write_lines(lines.select(F.coalesce(added, "value").alias("value")), source)
     checkpoint = fresh_path(spark, "rescue-checkpoint")
     start_ingest(spark, "bpm_audit", source, table, checkpoint, trigger=None, rescue=True).awaitTermination()
     good, _ = split_corrupt(scan(spark, table), AUDIT)
